@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_STRICT_JSON = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+STRICT_JSON = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
 # Date, optionally followed by hours and minutes, seconds, a fraction and an offset.
 ISO_PATTERN = (
@@ -21,34 +21,12 @@ def decoded_text(data: Column) -> Column:
     return F.try_validate_utf8(F.try_to_binary(data, F.lit("base64")).cast("string"))
 
 
-def json_object(text: Column, fields: str) -> Column:
-    """The named fields of one JSON object, all as text; null if ``text`` is not one JSON object.
-
-    The text is parsed as a one-element array, because the JSON reader stops silently after the
-    first value: ``{"a":1} tail`` must not pass as an object.
-    """
-    rows = F.from_json(
-        F.concat(F.lit("["), text, F.lit("]")), f"array<struct<{_as_struct(fields)}>>", _STRICT_JSON
-    )
-    return F.when(F.size(rows) == 1, rows[0])
-
-
 def is_json(text: Column) -> Column:
     """Whether the whole text is one JSON value of any kind."""
-    values = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>", _STRICT_JSON)
+    values = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>", STRICT_JSON)
     return F.coalesce(F.size(values) == 1, F.lit(False))
 
 
-def has_key(text: Column, key: str) -> Column:
-    """Whether the JSON object has the key at all: a missing key and a null value differ."""
-    return F.map_contains_key(F.from_json(text, "map<string,string>", _STRICT_JSON), F.lit(key))
-
-
-def _as_struct(fields: str) -> str:
-    parts = (field.split() for field in fields.split(","))
-    return ",".join(f"`{name}`:{kind}" for name, kind in parts)
-
-
 def number(text: Column) -> Column:
     """Text to double; null for text that is no number. Java's ``2.5d`` notation is refused."""
     return F.when(~text.rlike(r"(?i)[0-9.][df]\s*$"), text.try_cast("double"))

@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import (
-    OneHotEncoder, SQLTransformer, StringIndexer, TargetEncoder, VectorAssembler,
-)
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +12,7 @@ from tripmill.functions import trips as tf
 
 ROUTE_INDEX = "route_index"
 FEATURES = "features_vector"
-TREE_COLUMNS = (ROUTE_INDEX, "route_mean", "route_minutes", FEATURES)
+TREE_COLUMNS = ("route_mean", "route_minutes", FEATURES)
 
 
 def with_route(df: DataFrame) -> DataFrame:
@@ -36,11 +34,6 @@ def check_vocabulary(train: DataFrame, limit: int = S.MAX_ROUTES) -> int:
     return routes
 
 
-def _indexer() -> StringIndexer:
-    return StringIndexer(inputCol="PU_DO", outputCol=ROUTE_INDEX, handleInvalid="keep",
-                         stringOrderType="alphabetAsc")
-
-
 def fit_features(train: DataFrame) -> PipelineModel:
     """One-hot route beside the distance, as sparse vectors.
 
@@ -48,10 +41,12 @@ def fit_features(train: DataFrame) -> PipelineModel:
     the number of routes seen in training plus one.
     """
     check_vocabulary(train)
+    index = StringIndexer(inputCol="PU_DO", outputCol=ROUTE_INDEX, handleInvalid="keep",
+                          stringOrderType="alphabetAsc")
     one_hot = OneHotEncoder(inputCol=ROUTE_INDEX, outputCol="route_vector", dropLast=True)
     together = VectorAssembler(inputCols=["route_vector", "trip_distance"], outputCol=FEATURES,
                                handleInvalid="keep")
-    return Pipeline(stages=[_indexer(), one_hot, together]).fit(train)
+    return Pipeline(stages=[index, one_hot, together]).fit(train)
 
 
 def transform_features(df: DataFrame, fitted: PipelineModel) -> DataFrame:
@@ -71,19 +66,33 @@ def vocabulary(spark: SparkSession, fitted: PipelineModel) -> DataFrame:
     return spark.createDataFrame(list(enumerate(names)), "feature_index bigint, feature string")
 
 
-def tree_stages(smoothing: float) -> list:
-    """The same two inputs for Spark's trees.
+def route_means(train: DataFrame, overall: float, smoothing: float) -> DataFrame:
+    """Mean duration per route, drawn towards the overall mean where a route has few trips.
 
-    Those store every row densely, so 70,000 one-hot columns would cost 280 kB per row. A single
-    column with the smoothed mean duration of the route lets one split separate any routes that
-    differ in mean; an unseen route gets the overall mean.
+    Spark's trees store every row densely, so 70,000 one-hot columns would cost 280 kB per row.
+    This single column lets one split separate any routes that differ in mean. Partial sums reach
+    the shuffle, so a route with very many trips is one row per task there.
     """
+    trips, minutes = F.count("duration"), F.sum("duration")
+    return train.groupBy("PU_DO").agg(
+        ((minutes + F.lit(smoothing * overall)) / (trips + F.lit(smoothing))).alias("route_mean")
+    )
+
+
+def with_route_mean(df: DataFrame, means: DataFrame) -> DataFrame:
+    """Add the mean of the route, null for unseen ones.
+
+    The broadcast is bounded: there are at most ``MAX_ROUTES`` means, as checked when they were
+    made, about 2 MB.
+    """
+    return with_route(df).join(F.broadcast(means), "PU_DO", "left")
+
+
+def tree_stages(overall: float) -> list:
+    """Route mean and distance as the trees' input; an unseen route gets the overall mean."""
     return [
-        _indexer(),
-        TargetEncoder(inputCols=[ROUTE_INDEX], outputCols=["route_mean"], labelCol="duration",
-                      targetType="continuous", handleInvalid="keep", smoothing=smoothing),
-        # The encoder marks its output as categorical; the trees need it as the number it is.
-        SQLTransformer(statement="SELECT *, route_mean + 0D AS route_minutes FROM __THIS__"),
+        SQLTransformer(statement=f"SELECT *, coalesce(route_mean, {overall!r}D) AS route_minutes "
+                                 "FROM __THIS__"),
         VectorAssembler(inputCols=["route_minutes", "trip_distance"], outputCol=FEATURES,
                         handleInvalid="keep"),
     ]

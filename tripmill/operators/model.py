@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import asdict, dataclass
 
-from pyspark.ml import Pipeline, PipelineModel, Transformer
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,11 +13,12 @@ from pyspark.sql import functions as F
 from tripmill import schemas
 from tripmill import settings as S
 from tripmill.operators.features import (
-    FEATURES, TREE_COLUMNS, check_vocabulary, tree_stages, with_route,
+    FEATURES, TREE_COLUMNS, check_vocabulary, route_means, tree_stages, with_route_mean,
 )
 from tripmill.session import shared_root
 
 VALIDATION_FLAG = "is_validation"
+MEANS, TREES = "route_means", "trees"
 
 
 @dataclass(frozen=True)
@@ -40,37 +41,58 @@ class TrainingParams:
     early_stop_tolerance: float | None = None
 
 
-def train_duration_model(train: DataFrame, params: TrainingParams = TrainingParams(),
-                         validation: DataFrame | None = None) -> PipelineModel:
-    """Boosted trees on route and distance with squared error.
+@dataclass(frozen=True)
+class DurationModel:
+    """Route means and trees; both are stored under one folder."""
+
+    means: DataFrame
+    trees: PipelineModel
+
+
+def train_duration_model(train: DataFrame, path: str, params: TrainingParams = TrainingParams(),
+                         validation: DataFrame | None = None) -> DurationModel:
+    """Boosted trees on route and distance with squared error, stored under ``path``.
 
     With ``validation`` and a tolerance, boosting stops when the validation error stops improving;
-    the features are still fitted on the training rows alone.
+    the route means are still those of the training rows alone. The means are written before they
+    are used, so no later step goes back to the training rows for them.
     """
     spark = train.sparkSession
     shared_root(spark)  # boosting cuts its lineage there every few rounds
-    check_vocabulary(train)
     columns = ["PU_DO", "trip_distance", "duration"]
+    train = train.select(*columns)
+    check_vocabulary(train)
+    overall = train.agg(F.avg("duration")).first()[0]
+    if overall is None:
+        raise ValueError("there are no training rows")
+    means = route_means(train, overall, params.smoothing)
+    means.write.mode("overwrite").parquet(f"{path}/{MEANS}")
+    means = read_means(spark, path)
     boosting = GBTRegressor(
         featuresCol=FEATURES, labelCol="duration", lossType="squared", maxIter=params.rounds,
         maxDepth=params.depth, stepSize=params.learning_rate, maxBins=params.bins,
         minInstancesPerNode=params.min_rows_per_leaf,
         minWeightFractionPerNode=params.min_leaf_share, seed=params.seed, maxMemoryInMB=512,
     )
-    features = Pipeline(stages=tree_stages(params.smoothing)).fit(train.select(*columns))
-    rows = features.transform(train.select(*columns))
+    rows = train
     if validation is not None and params.early_stop_tolerance is not None:
-        boosting = boosting.setValidationIndicatorCol(VALIDATION_FLAG)
-        boosting = boosting.setValidationTol(params.early_stop_tolerance)
-        held_out = features.transform(validation.select(*columns))
-        rows = rows.withColumn(VALIDATION_FLAG, F.lit(False)).unionByName(
-            held_out.withColumn(VALIDATION_FLAG, F.lit(True)))
-    return PipelineModel(stages=[*features.stages, boosting.fit(rows)])
+        boosting.setParams(validationIndicatorCol=VALIDATION_FLAG,
+                           validationTol=params.early_stop_tolerance)
+        rows = train.withColumn(VALIDATION_FLAG, F.lit(False)).unionByName(
+            validation.select(*columns).withColumn(VALIDATION_FLAG, F.lit(True)))
+    stages = [*tree_stages(overall), boosting]
+    trees = Pipeline(stages=stages).fit(with_route_mean(rows, means))
+    trees.write().overwrite().save(f"{path}/{TREES}")
+    return DurationModel(means, trees)
+
+
+def read_means(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(schemas.ROUTE_MEANS).parquet(f"{path}/{MEANS}")
 
 
-def predict(requests: DataFrame, model: Transformer) -> DataFrame:
+def predict(requests: DataFrame, model: DurationModel) -> DataFrame:
     """Requests with a ``prediction``; routes are derived as in training."""
-    return model.transform(with_route(requests)).drop(*TREE_COLUMNS)
+    return model.trees.transform(with_route_mean(requests, model.means)).drop(*TREE_COLUMNS)
 
 
 def with_default(predicted: DataFrame) -> DataFrame:
@@ -82,26 +104,22 @@ def with_default(predicted: DataFrame) -> DataFrame:
     }).drop("prediction", "PU_DO")
 
 
-def score_or_default(requests: DataFrame, model: Transformer | None) -> DataFrame:
+def score_or_default(requests: DataFrame, model: DurationModel | None) -> DataFrame:
     """Score requests; without a model every row gets the default."""
     if model is None:
         return with_default(requests.withColumn("prediction", F.lit(None).cast("double")))
     return with_default(predict(requests, model))
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    """Features and trees as one unit."""
-    model.write().overwrite().save(path)
-
-
-_loaded: dict[tuple[str, str], PipelineModel] = {}
+_loaded: dict[tuple[str, str], DurationModel] = {}
 
 
-def load_model(spark: SparkSession, path: str, refresh: bool = False) -> PipelineModel:
+def load_model(spark: SparkSession, path: str, refresh: bool = False) -> DurationModel:
     """A stored model, loaded once per application unless ``refresh`` is asked for."""
     key = (spark.sparkContext.applicationId, path)
     if refresh or key not in _loaded:
-        _loaded[key] = PipelineModel.load(path)
+        _loaded[key] = DurationModel(read_means(spark, path),
+                                     PipelineModel.load(f"{path}/{TREES}"))
     return _loaded[key]
 
 
@@ -119,9 +137,9 @@ def training_runs(spark: SparkSession, root: str, run_id: str | None = None) ->
     return runs.where(F.col("run_id") == run_id) if run_id else runs
 
 
-def tree_summary(spark: SparkSession, model: PipelineModel) -> DataFrame:
+def tree_summary(spark: SparkSession, model: DurationModel) -> DataFrame:
     """One row per boosting round: weight, depth and size of its tree."""
-    trees = model.stages[-1]
+    trees = model.trees.stages[-1]
     rows = [(i, float(w), t.depth, t.numNodes)
             for i, (w, t) in enumerate(zip(trees.treeWeights, trees.trees))]
     return spark.createDataFrame(rows, "round int, weight double, depth int, nodes int")

@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 
 from tripmill import schemas
 from tripmill import settings as S
-from tripmill.functions import trips as tf
 from tripmill.functions import wire
+from tripmill.operators.parsing import DATA_KEYS, KEYS, has_key, parse_object
+
+FLAT_FIELDS = ("PULocationID", "DOLocationID", "trip_distance")
+NESTED_FIELDS = ("pickup_location_id", "dropoff_location_id", "trip_distance")
 
 NOT_TEXT = "payload is not base64 UTF-8 text"
 NOT_OBJECT = "payload is not a JSON object"
@@ -26,44 +29,39 @@ def decode_records(records: DataFrame) -> DataFrame:
     """Base64 to JSON object; ``payload`` and ``ride`` are null where a step failed, with a
     ``reason``."""
     decoded = records.withColumn("payload", wire.decoded_text(F.col("data"))).drop("data")
-    return _parse_payload(decoded)
-
-
-def _parse_payload(df: DataFrame) -> DataFrame:
-    parsed = df.withColumn("ride", wire.json_object(F.col("payload"), schemas.RIDE_FIELDS))
-    return parsed.withColumn(
+    return _parse_payload(decoded).withColumn(
         "reason",
         F.when(F.col("payload").isNull(), NOT_TEXT).when(F.col("ride").isNull(), NOT_OBJECT),
     )
 
 
+def _parse_payload(df: DataFrame) -> DataFrame:
+    return parse_object(df, "payload", schemas.RIDE_FIELDS, "ride", FLAT_FIELDS,
+                        NESTED_FIELDS)
+
+
 def normalize_event(decoded: DataFrame) -> DataFrame:
     """One flat request from either shape: flat ride event or trip envelope.
 
     A key that is present wins even if its value is null; a field missing in both shapes gets its
     default. Adds ``pickup``, ``dropoff`` and ``distance`` as text.
     """
-    nested = decoded.withColumn(
-        "nested", wire.json_object(F.col("ride.data"), schemas.ENVELOPE_DATA_FIELDS)
-    )
-
     def pick(flat: str, inner: str, default: str) -> Column:
-        # The key look-ups parse again, but only for rows whose value is null.
-        flat_value, inner_value = F.col(f"ride.{flat}"), F.col(f"nested.{inner}")
+        flat_value, inner_value = F.col(f"ride.{flat}"), F.col(f"ride.data.{inner}")
         return (
-            F.when(flat_value.isNotNull(), flat_value)
-            .when(F.col("ride").isNull(), None)
-            .when(wire.has_key(F.col("payload"), flat), None)
+            F.when(F.col("ride").isNull(), None)
+            .when(flat_value.isNotNull(), flat_value)
+            .when(has_key(KEYS, flat), None)
             .when(inner_value.isNotNull(), inner_value)
-            .when(F.col("nested").isNotNull() & wire.has_key(F.col("ride.data"), inner), None)
+            .when(has_key(DATA_KEYS, inner), None)
             .otherwise(default)
         )
 
-    return nested.withColumns({
+    return decoded.withColumns({
         "pickup": pick("PULocationID", "pickup_location_id", S.DEFAULT_ZONE),
         "dropoff": pick("DOLocationID", "dropoff_location_id", S.DEFAULT_ZONE),
         "distance": pick("trip_distance", "trip_distance", str(S.DEFAULT_DISTANCE)),
-    }).drop("nested")
+    })
 
 
 def serving_features(normalized: DataFrame) -> DataFrame:
@@ -124,8 +122,7 @@ def ride_to_json(rides: DataFrame) -> DataFrame:
 
 def ride_from_json(df: DataFrame) -> DataFrame:
     """JSON text to typed rides: integer zones and a distance are required, the id is optional."""
-    parsed = df.withColumn("ride", wire.json_object(F.col("payload"), schemas.RIDE_FIELDS))
-    typed = parsed.withColumns({
+    typed = _parse_payload(df).withColumns({
         "ride_id": F.col("ride.ride_id"),
         "PULocationID": F.col("ride.PULocationID").try_cast("int"),
         "DOLocationID": F.col("ride.DOLocationID").try_cast("int"),
@@ -135,4 +132,4 @@ def ride_from_json(df: DataFrame) -> DataFrame:
         "rejected",
         F.col("ride").isNull() | F.col("PULocationID").isNull() | F.col("DOLocationID").isNull()
         | F.col("trip_distance").isNull(),
-    ).drop("ride")
+    ).drop("ride", KEYS, DATA_KEYS)

@@ -9,26 +9,25 @@ from tripmill import schemas
 from tripmill import settings as S
 from tripmill.functions import trips as tf
 from tripmill.functions import wire
+from tripmill.operators.parsing import DATA_KEYS, KEYS, has_key, parse_object
 
-_TOP_FIELDS = ", ".join(f"{name} STRING" for name in S.REQUIRED_ENVELOPE_FIELDS)
-
-
-def envelope_error(text: Column, top: Column, data: Column, check_zones: bool = False) -> Column:
-    """The first broken rule of an envelope, null if it is valid.
+def envelope_error(event: Column, check_zones: bool = False) -> Column:
+    """The first broken rule of a parsed envelope, null if it is valid.
 
     Rules in order: one JSON object; four top-level fields; data is an object with both zones; the
     timestamp is ISO-8601; four fields are numbers if given. Zones within 1..265 is a rule on
     request.
     """
-    rules = [(top.isNull(), "not a JSON object")]
+    data = event["data"]
+    rules = [(event.isNull(), "not a JSON object")]
     for name in S.REQUIRED_ENVELOPE_FIELDS:
-        absent = top[name].isNull() & ~wire.has_key(text, name)
+        absent = event[name].isNull() & ~has_key(KEYS, name)
         rules.append((absent, f"Missing required field: {name}"))
     rules.append((data.isNull(), "data is not an object"))
     for name in S.REQUIRED_DATA_FIELDS:
-        absent = data[name].isNull() & ~wire.has_key(top["data"], name)
+        absent = data[name].isNull() & ~has_key(DATA_KEYS, name)
         rules.append((absent, f"Missing required data field: {name}"))
-    rules.append((wire.iso_instant(top["timestamp"]).isNull(), "timestamp is not ISO-8601"))
+    rules.append((wire.iso_instant(event["timestamp"]).isNull(), "timestamp is not ISO-8601"))
     for name in S.NUMERIC_DATA_FIELDS:
         wrong = data[name].isNotNull() & wire.number(data[name]).isNull()
         rules.append((wrong, f"{name} is not a number"))
@@ -43,14 +42,11 @@ def envelope_error(text: Column, top: Column, data: Column, check_zones: bool =
 
 def validate_events(events: DataFrame, payload: str = "payload",
                     check_zones: bool = False) -> DataFrame:
-    """Adds ``valid`` and ``error``; each text is parsed once, and again only where a field is
-    null."""
-    parsed = (
-        events.withColumn("top", wire.json_object(F.col(payload), _TOP_FIELDS))
-        .withColumn("inner", wire.json_object(F.col("top.data"), schemas.ENVELOPE_DATA_FIELDS))
-    )
-    error = envelope_error(F.col(payload), F.col("top"), F.col("inner"), check_zones)
+    """Adds ``valid`` and ``error`` to events in JSON text."""
+    parsed = parse_object(events, payload, schemas.ENVELOPE_FIELDS, "event",
+                          S.REQUIRED_ENVELOPE_FIELDS, S.REQUIRED_DATA_FIELDS)
     return (
-        parsed.withColumn("error", error).drop("top", "inner")
+        parsed.withColumn("error", envelope_error(F.col("event"), check_zones))
+        .drop("event", KEYS, DATA_KEYS)
         .withColumn("valid", F.col("error").isNull())
     )

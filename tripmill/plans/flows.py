@@ -5,17 +5,17 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.operators import cleaning, metrics, model
+from tripmill.operators import cleaning, metrics
+from tripmill.operators import model as duration_model
 from tripmill.sinks.tables import write_trips_month
 
 
 @dataclass(frozen=True)
 class Trained:
-    model: PipelineModel
+    model: duration_model.DurationModel
     rmse: float
     run_id: str
 
@@ -34,14 +34,13 @@ def prepare_month(trips: DataFrame, root: str, year: int, month: int) -> None:
 
 def train_and_record(spark: SparkSession, train: DataFrame, validation: DataFrame,
                      model_path: str, runs_path: str,
-                     params: model.TrainingParams = model.TrainingParams()) -> Trained:
+                     params: duration_model.TrainingParams = duration_model.TrainingParams()) -> Trained:
     """Train on clean trips, measure on validation trips, store model and run.
 
     Whether the error is good enough is a separate step (``metrics.require_rmse``).
     """
-    fitted = model.train_duration_model(train, params, validation)
-    scored = model.predict(validation, fitted)
+    fitted = duration_model.train_duration_model(train, model_path, params, validation)
+    scored = duration_model.predict(validation, fitted)
     error = metrics.rmse(scored).first()["rmse"]
-    model.save_model(fitted, model_path)
-    run_id = model.record_run(spark, runs_path, params, {"rmse": error})
+    run_id = duration_model.record_run(spark, runs_path, params, {"rmse": error})
     return Trained(fitted, error, run_id)

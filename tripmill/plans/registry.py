@@ -136,17 +136,15 @@ def month_availability(spark, sf_dir):
         fixtures.table(spark, sf_dir, "orders").select(run_date.alias("run_date")).distinct()
         .select("run_date", *calendar.training_months(F.col("run_date")))
     )
-    pickup = F.col(cleaning.PICKUP)
-    months = _trips(spark, sf_dir).select(F.year(pickup).alias("year"),
-                                          F.month(pickup).alias("month"))
-    return trip_source.month_availability(required, months)
+    catalog = documents.dataset_catalog(spark, _landed_months(spark, sf_dir))
+    return trip_source.month_availability(required, trip_source.present_months(catalog))
 
 
 def read_json_docs(spark, sf_dir):
     root = fresh_folder(spark, "json")
     payloads = fixtures.payloads_from(fixtures.table(spark, sf_dir, "events"))
     sinks.export_text(payloads, F.col("payload"), root)
-    docs = documents.read_json_docs(spark, root, schemas.RIDE_FIELDS)
+    docs = documents.read_json_docs(spark, root, schemas.JSON_RIDE)
     return docs.select("ride_id", "PULocationID", "DOLocationID", "trip_distance",
                        F.col(documents.CORRUPT).alias("corrupt_text"))
 
@@ -254,9 +252,8 @@ def ride_from_json(spark, sf_dir):
 
 
 def fill_event_timestamp(spark, sf_dir):
-    payloads = fixtures.payloads_from(fixtures.table(spark, sf_dir, "events"))
-    stamped = payloads.withColumn(
-        "timestamp", wire.json_object(F.col("payload"), "timestamp STRING").timestamp)
+    decoded = rides.decode_records(fixtures.ride_records(spark, sf_dir))
+    stamped = decoded.withColumn("timestamp", F.col("ride.timestamp"))
     return events.fill_event_timestamp(stamped).select("sequence_number", "timestamp")
 
 
@@ -475,9 +472,11 @@ def train_duration_model(spark, sf_dir):
 
 
 def train_with_validation(spark, sf_dir):
-    params = model.TrainingParams(depth=PARAMS.depth, early_stop_tolerance=0.01)
+    """Rounds go on while a round lowers the validation error by 1/10000."""
+    params = model.TrainingParams(depth=PARAMS.depth, early_stop_tolerance=0.0001)
     train, held_out = _split(spark, sf_dir)
-    return model.tree_summary(spark, model.train_duration_model(train, params, held_out))
+    return model.tree_summary(spark, model.train_duration_model(
+        train, fresh_folder(spark, "model"), params, held_out))
 
 
 def batch_score(spark, sf_dir):
@@ -539,7 +538,8 @@ def stream_ingest_validated(spark, sf_dir):
     out = fresh_folder(spark, "ingested")
     trips = fixtures.trips_from(fixtures.table_stream(spark, sf_dir, "lineitem"))
     streams.finish(streams.stream_ingest_validated(trips, out, fresh_folder(spark, "progress")))
-    return spark.read.parquet(out).select("trip_id", "event_id", "error", "valid")
+    landed = spark.read.schema(schemas.LANDED_ENVELOPE).parquet(out)
+    return landed.select("trip_id", "event_id", "error", "valid")
 
 
 REGISTERED = (

@@ -8,16 +8,33 @@ RAW_TRIP = (
 
 TRIP_MONTHS = f"{RAW_TRIP}, year INT, month INT"
 
+CLEAN_MONTHS = (
+    "trip_id STRING, tpep_pickup_datetime TIMESTAMP_NTZ, tpep_dropoff_datetime TIMESTAMP_NTZ, "
+    "PULocationID STRING, DOLocationID STRING, passenger_count INT, trip_distance DOUBLE, "
+    "total_amount DOUBLE, payment_type INT, duration DOUBLE, PU_DO STRING, year INT, month INT"
+)
+
 STREAM_RECORD = "data STRING, sequence_number BIGINT, arrival_ts TIMESTAMP_NTZ"
 
+# What is read from JSON text, all as text; typing comes after the checks.
+ENVELOPE_DATA_FIELDS = (
+    "pickup_datetime: STRING, dropoff_datetime: STRING, pickup_location_id: STRING, "
+    "dropoff_location_id: STRING, passenger_count: STRING, trip_distance: STRING, "
+    "duration_minutes: STRING, total_amount: STRING, payment_type: STRING"
+)
+
 RIDE_FIELDS = (
-    "ride_id STRING, PULocationID STRING, DOLocationID STRING, trip_distance STRING, data STRING"
+    "ride_id: STRING, timestamp: STRING, PULocationID: STRING, DOLocationID: STRING, "
+    f"trip_distance: STRING, data: STRUCT<{ENVELOPE_DATA_FIELDS}>"
 )
 
-ENVELOPE_DATA_FIELDS = (
-    "pickup_datetime STRING, dropoff_datetime STRING, pickup_location_id STRING, "
-    "dropoff_location_id STRING, passenger_count STRING, trip_distance STRING, "
-    "duration_minutes STRING, total_amount STRING, payment_type STRING"
+ENVELOPE_FIELDS = (
+    "event_id: STRING, event_type: STRING, timestamp: STRING, "
+    f"data: STRUCT<{ENVELOPE_DATA_FIELDS}>"
+)
+
+JSON_RIDE = (
+    "ride_id STRING, PULocationID STRING, DOLocationID STRING, trip_distance STRING"
 )
 
 RIDE_EVENT = (
@@ -40,3 +57,7 @@ PREDICTION_LOG = (
 )
 
 TRAINING_RUN = "run_id STRING, params MAP<STRING,STRING>, metrics MAP<STRING,DOUBLE>"
+
+LANDED_ENVELOPE = "trip_id STRING, event_id STRING, payload STRING, error STRING, valid BOOLEAN"
+
+ROUTE_MEANS = "PU_DO STRING, route_mean DOUBLE"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,9 +29,14 @@ def stream_from(spark: SparkSession, source: str, options: dict[str, str], data:
     )
 
 
-def recent_events(records: DataFrame, payload: str = "payload",
-                  limit: int = S.RECENT_RECORDS) -> DataFrame:
-    """The newest records whose payload is JSON, newest first: a top-k per task, then a merge."""
+def recent_events(records: DataFrame, payload: str = "payload", limit: int = S.RECENT_RECORDS,
+                  since: datetime | None = None) -> DataFrame:
+    """The newest records whose payload is JSON, newest first: a top-k per task, then a merge.
+
+    ``since`` is a range on the stored arrival time, so that a long history is not read.
+    """
+    if since is not None:
+        records = records.where(F.col("arrival_ts") >= F.lit(since).cast("timestamp_ntz"))
     return (
         records.where(is_json(F.col(payload)))
         .select(F.col("arrival_ts"), F.col(payload).alias("payload"), F.col("sequence_number"))

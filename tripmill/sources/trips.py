@@ -7,7 +7,7 @@ from collections.abc import Callable
 from datetime import date
 
 from pyspark.errors import AnalysisException, PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill import schemas
@@ -19,14 +19,29 @@ def next_month(year: int, month: int) -> date:
     return date(year + month // 12, month % 12 + 1, 1)
 
 
-def scan_trips_month(spark: SparkSession, root: str, year: int, month: int) -> DataFrame:
-    """One month of a table laid out as ``year=/month=``; other months are not listed or read."""
+def scan_trips_month(spark: SparkSession, root: str, year: int, month: int,
+                     schema: str = schemas.TRIP_MONTHS) -> DataFrame:
+    """One month of a table laid out as ``year=/month=``.
+
+    The month's folder is read directly, so the folders of all other months are not even listed;
+    a month that does not exist is an error.
+    """
     return (
-        spark.read.schema(schemas.TRIP_MONTHS).parquet(root)
-        .where((F.col("year") == year) & (F.col("month") == month))
+        spark.read.schema(schema).option("basePath", root)
+        .parquet(f"{root}/year={year}/month={month}")
     )
 
 
+def present_months(catalog: DataFrame) -> DataFrame:
+    """Months that have files, from the paths of a catalogue alone: no file is opened."""
+    def part(name: str) -> Column:
+        return F.regexp_extract("key", rf"/{name}=(\d+)/", 1).try_cast("int").alias(name)
+
+    return catalog.select(part("year"), part("month")).where(
+        F.col("year").isNotNull() & F.col("month").isNotNull()
+    ).distinct()
+
+
 def load_month_with_backfill(spark: SparkSession, cache_root: str, year: int, month: int,
                              origin: Callable[[int, int], DataFrame]) -> DataFrame:
     """The cached month, or the origin's month, which is then written to the cache.
@@ -49,22 +64,19 @@ def load_month_with_backfill(spark: SparkSession, cache_root: str, year: int, mo
     return spark.read.schema(fresh.schema).parquet(path)
 
 
-def month_availability(required: DataFrame, trips: DataFrame) -> DataFrame:
-    """Which required train and validation months exist in ``trips``.
+def month_availability(required: DataFrame, present: DataFrame) -> DataFrame:
+    """Which required train and validation months exist.
 
-    ``required`` has ``run_date, train_year, train_month, val_year, val_month``; ``trips`` has
-    ``year`` and ``month``. The months present are one row per month after a partial aggregation,
-    and the joins are plain equi-joins, so nothing grows with the trip rows.
+    ``required`` has ``run_date, train_year, train_month, val_year, val_month``; ``present`` has one
+    row per existing ``year`` and ``month``. Nothing here grows with the number of trips.
     """
-    present = trips.select("year", "month").distinct()
-
     def months(prefix: str) -> DataFrame:
         return present.select(
             F.col("year").alias(f"{prefix}_year"), F.col("month").alias(f"{prefix}_month"),
             F.lit(True).alias(f"{prefix}_found"),
         )
 
-    def label(kind: str, prefix: str):
+    def label(kind: str, prefix: str) -> Column:
         return F.when(
             ~F.col(f"{prefix}_available"),
             F.format_string(f"{kind} (%d-%02d)", f"{prefix}_year", f"{prefix}_month"),
