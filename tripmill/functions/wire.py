@@ -29,12 +29,16 @@ def is_json(text: Column) -> Column:
 
 def number(text: Column) -> Column:
     """Text to double; null for text that is no number. Java's ``2.5d`` notation is refused."""
-    return F.when(~text.rlike(r"(?i)[0-9.][df]\s*$"), text.try_cast("double"))
+    lower = F.lower(F.trim(text))
+    java_suffix = (lower.endswith("d") | lower.endswith("f")) & ~lower.endswith("inf")
+    return F.when(~java_suffix, text.try_cast("double"))
 
 
 def plain_zone(text: Column) -> Column:
     """Zone text from JSON, where an id may have come as ``161.0``."""
-    return F.regexp_replace(text, r"^(-?\d+)\.0+$", "$1")
+    return F.when(
+        text.contains("."), F.regexp_replace(text, r"^(-?\d+)\.0+$", "$1")
+    ).otherwise(text)
 
 
 def iso_instant(text: Column) -> Column:
@@ -47,4 +51,5 @@ def iso_instant(text: Column) -> Column:
 
 def iso_text(ts: Column) -> Column:
     """Timestamp to ISO-8601 text; the fraction appears only if it is not zero."""
-    return F.regexp_replace(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), r"\.000000$", "")
+    full = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    return F.replace(full, F.lit(".000000"), F.lit(""))

@@ -61,6 +61,10 @@ def train_duration_model(train: DataFrame, path: str, params: TrainingParams = T
     shared_root(spark)  # boosting cuts its lineage there every few rounds
     columns = ["PU_DO", "trip_distance", "duration"]
     train = train.select(*columns)
+    cores = spark.sparkContext.defaultParallelism
+    if train.rdd.getNumPartitions() < cores:
+        # Every tree level passes over all rows, so a few large input files must not idle cores.
+        train = train.repartition(cores)
     check_vocabulary(train)
     overall = train.agg(F.avg("duration")).first()[0]
     if overall is None:

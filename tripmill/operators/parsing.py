@@ -25,7 +25,7 @@ def parse_object(df: DataFrame, text: str, fields: str, into: str, watched: Iter
     ``object_keys`` and ``data_keys`` list the keys of the object and of its ``data`` object. They
     are read only where a watched field is null, and null otherwise.
     """
-    rows, one = F.col("_rows"), F.col("_rows")[0]
+    rows, one = F.col("_rows"), F.get("_rows", F.lit(0))
     single = F.size(rows) == 1
 
     def any_null(parts: list[Column]) -> Column:

@@ -13,8 +13,7 @@ from pyspark.sql import functions as F
 
 from tripmill import settings as S
 from tripmill.operators.events import trip_to_envelope, trip_to_ride_event
-from tripmill.operators.validation import validate_events
-from tripmill.operators.events import envelope_json
+from tripmill.operators.validation import validate_envelopes
 
 PREFIX_CHARACTERS = 4  # hexadecimal, so 16 ** 4 prefixes
 TOP_K = 10_000         # up to here a top-k per task is cheaper than a counting pass
@@ -86,10 +85,4 @@ def shuffled_replay(trips: DataFrame, key: str, max_events: int | None = None,
 def load_transform_validate(trips: DataFrame, key: str, start: int, size: int,
                             check_zones: bool = False) -> DataFrame:
     """Slice, envelope and validation as one plan over one scan; ``error`` is the first problem."""
-    envelopes = batch_slice(trips, key, start, size)
-    checked = validate_events(
-        envelopes.withColumn("payload", envelope_json(envelopes)), check_zones=check_zones
-    )
-    return checked.withColumn("error", F.coalesce("reason", "error")).withColumn(
-        "valid", F.col("error").isNull()
-    ).drop("reason", "payload")
+    return validate_envelopes(batch_slice(trips, key, start, size), check_zones)

@@ -27,13 +27,23 @@ def envelope_error(event: Column, check_zones: bool = False) -> Column:
     for name in S.REQUIRED_DATA_FIELDS:
         absent = data[name].isNull() & ~has_key(DATA_KEYS, name)
         rules.append((absent, f"Missing required data field: {name}"))
-    rules.append((wire.iso_instant(event["timestamp"]).isNull(), "timestamp is not ISO-8601"))
+    rules.append(_timestamp_rule(event["timestamp"]))
     for name in S.NUMERIC_DATA_FIELDS:
         wrong = data[name].isNotNull() & wire.number(data[name]).isNull()
         rules.append((wrong, f"{name} is not a number"))
-    if check_zones:
-        for name in S.REQUIRED_DATA_FIELDS:
-            rules.append((~tf.zone_in_range(data[name]), f"{name} is not a zone"))
+    return _first_broken(rules + _zone_rules(data, check_zones))
+
+
+def _timestamp_rule(timestamp: Column) -> tuple[Column, str]:
+    return wire.iso_instant(timestamp).isNull(), "timestamp is not ISO-8601"
+
+
+def _zone_rules(data: Column, wanted: bool) -> list[tuple[Column, str]]:
+    return [(~tf.zone_in_range(data[name]), f"{name} is not a zone")
+            for name in S.REQUIRED_DATA_FIELDS if wanted]
+
+
+def _first_broken(rules: list[tuple[Column, str]]) -> Column:
     first = None
     for broken, message in rules:
         first = F.when(broken, message) if first is None else first.when(broken, message)
@@ -50,3 +60,16 @@ def validate_events(events: DataFrame, payload: str = "payload",
         .drop("event", KEYS, DATA_KEYS)
         .withColumn("valid", F.col("error").isNull())
     )
+
+
+def validate_envelopes(envelopes: DataFrame, check_zones: bool = False) -> DataFrame:
+    """Adds ``valid`` and ``error`` to envelopes that are still columns.
+
+    Their fields exist and have their types, so only the reason from building them, the timestamp
+    and the zones are left to check; the way through JSON text and back is saved.
+    """
+    rules = [_timestamp_rule(F.col("timestamp")), *_zone_rules(F.col("data"), check_zones)]
+    return (
+        envelopes.withColumn("error", F.coalesce(F.col("reason"), _first_broken(rules)))
+        .drop("reason").withColumn("valid", F.col("error").isNull())
+    )

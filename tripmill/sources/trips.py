@@ -6,6 +6,7 @@ import logging
 from collections.abc import Callable
 from datetime import date
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,8 @@ from tripmill import schemas
 
 log = logging.getLogger(__name__)
 
+_FAILURES = (PySparkException, Py4JJavaError)  # the latter where Spark has no error class
+
 
 def next_month(year: int, month: int) -> date:
     return date(year + month // 12, month % 12 + 1, 1)
@@ -52,13 +55,13 @@ def load_month_with_backfill(spark: SparkSession, cache_root: str, year: int, mo
     path = f"{cache_root}/year={year}/month={month}"
     try:
         return spark.read.schema(spark.read.parquet(path).schema).parquet(path)
-    except PySparkException as missing:
+    except _FAILURES as missing:
         if not isinstance(missing, AnalysisException):
             log.warning("cached month %s is unreadable, reading the origin: %s", path, missing)
     fresh = origin(year, month)
     try:
         fresh.write.mode("overwrite").parquet(path)
-    except PySparkException as failure:
+    except _FAILURES as failure:
         log.warning("month %s-%02d was not cached: %s", year, month, failure)
         return fresh
     return spark.read.schema(fresh.schema).parquet(path)
