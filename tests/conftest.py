@@ -16,6 +16,7 @@ def spark():
     session = build_session("tests", "local[*]", {
         "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
         "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g",
+        "spark.sql.maxMetadataStringLength": "10000",  # plan tests read whole lists
     })
     session.sparkContext.setLogLevel("ERROR")
     yield session

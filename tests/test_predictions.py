@@ -1,0 +1,145 @@
+from datetime import datetime
+
+from pyspark.sql import functions as F
+
+from tripmill import schemas
+from tripmill.functions import calendar
+from tripmill.operators import events, metrics, predictions
+from tripmill.sources import documents, records
+from tripmill.session import fresh_folder
+from tripmill.sinks import tables
+
+
+def entries(spark, *items):
+    data = [(ride, ts, ("1", "2", 1.0), 5.0, False, seq, ts_day.year, ts_day.month, ts_day.day)
+            for ride, ts, seq in items for ts_day in [datetime.fromisoformat(ts)]]
+    return spark.createDataFrame(data, schemas.PREDICTION_LOG)
+
+
+def test_latest_orders_times_as_times(spark):
+    # As text "…:00" sorts before "…:00.5" but after nothing that matters; 1 s is later than 0.9 s.
+    df = entries(spark, ("a", "2024-01-01T00:00:00.900000", 9), ("a", "2024-01-01T00:00:01", 1),
+                 ("a", "2024-01-02T00:00:00", 3), ("b", "2024-01-01T05:00:00", 4),
+                 ("b", "2024-01-01T05:00:00", 5))
+    got = {(r.ride_id, r.day): r.sequence_number
+           for r in predictions.latest_predictions(df).collect()}
+    assert got == {("a", 1): 1, ("a", 2): 3, ("b", 1): 5}
+
+
+def test_latest_is_stable_under_repetition(spark):
+    df = entries(spark, ("a", "2024-01-01T00:00:00", 1), ("b", "2024-01-01T00:00:00", 2))
+    once = predictions.latest_predictions(df)
+    again = predictions.latest_predictions(df.union(df))
+    assert sorted(once.collect()) == sorted(again.collect())
+
+
+def test_daily_report_lists_five_and_counts_the_rest(spark):
+    df = entries(spark, *[(f"r{i}", "2024-01-01T00:00:00", i) for i in range(7)],
+                 ("x", "2024-01-02T00:00:00", 9))
+    got = {r.day: (r.total, r.first_ride_ids, r.more)
+           for r in predictions.predictions_per_day(df).collect()}
+    assert got == {1: (7, "r0,r1,r2,r3,r4", 2), 2: (1, "x", 0)}
+
+
+def test_last_hours_cross_midnight_and_count_once(spark):
+    df = entries(spark, ("old", "2024-01-01T20:00:00", 1), ("in", "2024-01-01T23:30:00", 2),
+                 ("now", "2024-01-02T01:00:00", 3), ("future", "2024-01-02T02:00:00", 4))
+    got = predictions.since(df, datetime(2024, 1, 2, 1, 0, 0), 5).collect()
+    assert sorted(r.ride_id for r in got) == ["in", "now"]
+
+
+def test_lookup_by_part_of_the_id(spark):
+    df = entries(spark, ("ride_77", "2024-01-01T00:00:00", 1), ("ride_8", "2024-01-01T00:00:00", 2),
+                 ("ride_77", "2024-01-02T00:00:00", 3))
+    assert [r.sequence_number for r in
+            predictions.ride_id_lookup(df, "_7", 2024, 1, 1).collect()] == [1]
+
+
+def test_gate_fails_without_rows_and_passes_at_zero_error(spark):
+    empty = spark.createDataFrame([], "duration double, prediction double")
+    assert metrics.rmse_gate(empty).first().passed is False
+    exact = spark.createDataFrame([(5.0, 5.0)], "duration double, prediction double")
+    assert metrics.rmse_gate(exact).first().passed is True
+    assert metrics.require_rmse(exact) == 0.0
+    bad = spark.createDataFrame([(5.0, 15.0)], "duration double, prediction double")
+    assert metrics.rmse_gate(bad).first().passed is False
+
+
+def test_month_arithmetic_clips_and_rolls(spark):
+    df = spark.createDataFrame([("2024-03-31",), ("2024-12-05",), ("2024-02-29",)], "d string")
+    d = F.col("d").cast("date")
+    got = [tuple(r) for r in df.select(*calendar.training_months(d), *calendar.data_month(d)).collect()]
+    assert got == [(2023, 11, 2023, 12, 2022, 3), (2024, 8, 2024, 9, 2022, 12),
+                   (2023, 10, 2023, 11, 2022, 2)]
+    roll = df.select(*calendar.training_months_fallback(F.year(d), F.month(d))).collect()
+    assert tuple(roll[1]) == (2024, 12, 2025, 1)
+
+
+def test_envelope_defaults_for_absent_columns(spark):
+    df = spark.createDataFrame([(datetime(2024, 1, 1), datetime(2024, 1, 1, 0, 5))],
+                               "tpep_pickup_datetime timestamp_ntz, "
+                               "tpep_dropoff_datetime timestamp_ntz")
+    got = events.trip_to_envelope(df).first()
+    assert got.reason is None
+    assert got.event_id == "trip_1704067200000000_unknown"
+    assert got.data.asDict() == {
+        "pickup_datetime": "2024-01-01T00:00:00", "dropoff_datetime": "2024-01-01T00:05:00",
+        "pickup_location_id": "", "dropoff_location_id": "", "passenger_count": 1,
+        "trip_distance": 0.0, "duration_minutes": 5.0, "total_amount": 0.0, "payment_type": 1}
+
+
+def test_envelope_rejects_null_counts_unless_filled(spark):
+    data = [(datetime(2024, 1, 1), datetime(2024, 1, 1, 0, 5), 1, 2, None, None)]
+    df = spark.createDataFrame(data, (
+        "tpep_pickup_datetime timestamp_ntz, tpep_dropoff_datetime timestamp_ntz, "
+        "PULocationID int, DOLocationID int, passenger_count int, payment_type int"))
+    assert events.trip_to_envelope(df).first().reason == "passenger_count is null"
+    filled = events.trip_to_envelope(df, fill=True).first()
+    assert (filled.reason, filled.data.passenger_count, filled.data.payment_type) == (None, 1, 1)
+
+
+def test_recent_records_skip_what_is_not_json(spark):
+    rows = [(f'{{"n":{i}}}' if i % 2 else "no", datetime(2024, 1, 1, 0, 0, i), i) for i in range(40)]
+    df = spark.createDataFrame(rows, "payload string, arrival_ts timestamp_ntz, "
+                                     "sequence_number bigint")
+    got = [r.sequence_number for r in records.recent_events(df).collect()]
+    assert got == list(range(39, 20, -2))
+    late = records.recent_events(df, since=datetime(2024, 1, 1, 0, 0, 36)).collect()
+    assert [r.sequence_number for r in late] == [39, 37]
+
+
+def test_text_preview_marks_only_longer_texts(spark):
+    df = spark.createDataFrame([("a" * 1000,), ("é" * 1001,)], "t string")
+    got = df.select(*documents.text_preview(F.col("t"))).collect()
+    assert got[0].content == "a" * 1000 and got[1].content == "é" * 1000 + "..."
+    assert [r.full_length for r in got] == [1000, 1001]
+
+
+def test_text_and_json_files(spark, tmp_path):
+    (tmp_path / "one.txt").write_text("first\nsecond")
+    got = documents.read_text_files(spark, str(tmp_path)).first()
+    assert got.content == "first\nsecond" and got.key.endswith("one.txt")
+    folder = tmp_path / "json"
+    folder.mkdir()
+    (folder / "good.json").write_text('{\n "ride_id": "r1",\n "trip_distance": 2\n}')
+    (folder / "bad.json").write_text('{"ride_id": ')
+    docs = documents.read_json_docs(spark, str(folder), schemas.JSON_RIDE, one_object_per_file=True)
+    assert sorted((r.ride_id or "", r[documents.CORRUPT] is not None)
+                  for r in docs.collect()) == [("", True), ("r1", False)]
+
+
+def test_catalog_lists_by_suffix(spark, tmp_path):
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "sub" / "a.parquet").write_bytes(b"123")
+    (tmp_path / "b.txt").write_bytes(b"1")
+    got = documents.dataset_catalog(spark, str(tmp_path)).collect()
+    assert [(r.key.split("/")[-1], r.size) for r in got] == [("a.parquet", 3)]
+
+
+def test_export_round_trip(spark):
+    df = spark.createDataFrame([("a", None), ("b", 1.5)], "k string, v double")
+    path = fresh_folder(spark, "export")
+    tables.export_json(df, path)
+    assert sorted(map(tuple, spark.read.schema("k string, v double").json(path).collect())) == [
+        ("a", None), ("b", 1.5)]
+    assert sorted(r.value for r in spark.read.text(path).collect())[0] == '{"k":"a","v":null}'
