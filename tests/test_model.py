@@ -106,3 +106,30 @@ def test_runs_are_appended_and_found_by_id(spark):
 def test_parameters_default_to_the_fixed_values():
     p = model.TrainingParams()
     assert (p.rounds, p.depth, p.learning_rate, p.seed) == (30, 30, 0.09585355369315604, 42)
+
+
+def test_monthly_run_fills_the_cache_and_records_even_a_failed_gate(spark, sf_dir, monkeypatch):
+    from datetime import date
+    from tripmill.plans import flows
+    from tripmill.sources import fixtures, trips as trip_source
+    folders = [fresh_folder(spark, n) for n in ("cache", "model", "runs")]
+    asked = []
+
+    def origin(year, month):
+        asked.append((year, month))
+        return fixtures.trips(spark, sf_dir, year, month)
+
+    def run(limit):
+        monkeypatch.setattr(flows, "RMSE_LIMIT", limit)
+        return flows.monthly_run(spark, date(1998, 7, 31), folders[0], origin, *folders[1:],
+                                 model.TrainingParams(rounds=2, depth=2))
+
+    trained = run(1000.0)
+    assert asked == [(1998, 3), (1998, 4)]
+    assert trip_source.month_exists(spark, folders[0], 1998, 3)
+    assert not trip_source.month_exists(spark, folders[0], 1998, 5)
+    with pytest.raises(ValueError):
+        run(0.0)
+    assert asked == [(1998, 3), (1998, 4)]
+    assert model.training_runs(spark, folders[2]).count() == 2
+    assert model.training_runs(spark, folders[2], trained.run_id).first().metrics["rmse"] == trained.rmse

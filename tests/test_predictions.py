@@ -143,3 +143,11 @@ def test_export_round_trip(spark):
     assert sorted(map(tuple, spark.read.schema("k string, v double").json(path).collect())) == [
         ("a", None), ("b", 1.5)]
     assert sorted(r.value for r in spark.read.text(path).collect())[0] == '{"k":"a","v":null}'
+
+
+def test_nan_count_and_text_amount_reject_the_row(spark):
+    data = [(float("nan"), "1.5"), (2.0, "free"), (2.0, None)]
+    df = spark.createDataFrame(data, "passenger_count double, total_amount string")
+    df = df.withColumn("tpep_pickup_datetime", F.lit("2024-01-01").cast("timestamp_ntz"))
+    got = [r.reason for r in events.trip_to_envelope(df).collect()]
+    assert got == ["passenger_count is null", "total_amount is not a number", None]

@@ -78,3 +78,18 @@ def test_ingest_keeps_every_trip_valid_or_not(spark, sf_dir):
     from tripmill.operators import validation
     again = validation.validate_events(got.where("valid").select("trip_id", "payload"))
     assert again.where("not valid").isEmpty()  # what landed as valid is valid as text, too
+
+
+def test_quarantine_with_a_trained_model(spark, sf_dir):
+    from tripmill.operators.cleaning import clean_trips
+    params = model.TrainingParams(rounds=1, depth=2)
+    fitted = model.train_duration_model(clean_trips(fixtures.trips(spark, sf_dir)),
+                                        fresh_folder(spark, "model"), params)
+    source, out = landed(spark, sf_dir, 1), fresh_folder(spark, "out")
+    streams.finish(streams.stream_quarantine(
+        records.stream_rides(spark, source), lambda df: model.predict(df, fitted), out,
+        fresh_folder(spark, "progress")))
+    written = spark.read.parquet(out)
+    assert written.count() == fixtures.ride_records(spark, sf_dir).count()
+    assert written.where("outcome = 'accepted' and (is_default or predicted_duration is null)"
+                         ).isEmpty()

@@ -11,11 +11,13 @@ from tripmill.functions import wire
 from tripmill.operators.cleaning import DROPOFF, PICKUP, trip_duration_if_absent
 
 REQUIRED_COUNTS = ("passenger_count", "payment_type")
+AMOUNTS = {"trip_distance": "trip_distance", "duration": "duration_minutes",
+           "total_amount": "total_amount"}
 
 
 def _or_default(df: DataFrame, column: str, kind: str, default) -> Column:
     """The column as ``kind``, or the default if the table has no such column."""
-    return F.col(column).cast(kind) if column in df.columns else F.lit(default).cast(kind)
+    return F.col(column).try_cast(kind) if column in df.columns else F.lit(default).cast(kind)
 
 
 def trip_to_envelope(trips: DataFrame, fill: bool = False,
@@ -23,8 +25,8 @@ def trip_to_envelope(trips: DataFrame, fill: bool = False,
     """Trips to nested events, with a ``reason`` for rows that have no valid event.
 
     Event id and timestamp come from the event time (the pick-up unless given), so a replay gives
-    the same events. Counts must be integers: a null one rejects the row, or becomes 1 with
-    ``fill``.
+    the same events. Counts must be integers: a null (or NaN) one rejects the row, or becomes 1
+    with ``fill``.
     """
     df = trip_duration_if_absent(trips) if {PICKUP, DROPOFF} <= set(trips.columns) else trips
     when = event_time if event_time is not None else F.col(PICKUP)
@@ -47,21 +49,22 @@ def trip_to_envelope(trips: DataFrame, fill: bool = False,
         pickup_zone.alias("pickup_location_id"),
         dropoff_zone.alias("dropoff_location_id"),
         counts["passenger_count"].alias("passenger_count"),
-        _or_default(df, "trip_distance", "double", 0.0).alias("trip_distance"),
-        _or_default(df, "duration", "double", 0.0).alias("duration_minutes"),
-        _or_default(df, "total_amount", "double", 0.0).alias("total_amount"),
+        *[_or_default(df, source, "double", 0.0).alias(name) for source, name in AMOUNTS.items()],
         counts["payment_type"].alias("payment_type"),
     )
-    reason = F.lit(None).cast("string")
-    for name in reversed(REQUIRED_COUNTS):
-        reason = F.when(counts[name].isNull(), f"{name} is null").otherwise(reason)
+    reasons = [F.when(counts[name].isNull(), f"{name} is null") for name in REQUIRED_COUNTS]
+    reasons += [
+        F.when(F.col(source).isNotNull() & F.col(source).try_cast("double").isNull(),
+               f"{name} is not a number")
+        for source, name in AMOUNTS.items() if dict(df.dtypes).get(source) == "string"
+    ]
     return df.select(
         *[c for c in ("trip_id",) if c in df.columns],
         F.concat(F.lit("trip_"), epoch.cast("string"), F.lit("_"), id_zone).alias("event_id"),
         F.lit(S.ENVELOPE_TYPE).alias("event_type"),
         wire.iso_text(when).alias("timestamp"),
         data.alias("data"),
-        reason.alias("reason"),
+        F.coalesce(*reasons).alias("reason"),
     )
 
 

@@ -115,8 +115,8 @@ def batch_outcome(df: DataFrame, batch: Column, reason: str = "reason") -> DataF
 def ride_to_json(rides: DataFrame) -> DataFrame:
     """Typed rides to JSON text."""
     return rides.select("*", F.to_json(F.struct(
-        "ride_id", F.col("PULocationID").cast("int").alias("PULocationID"),
-        F.col("DOLocationID").cast("int").alias("DOLocationID"), "trip_distance",
+        "ride_id", F.col("PULocationID").try_cast("int").alias("PULocationID"),
+        F.col("DOLocationID").try_cast("int").alias("DOLocationID"), "trip_distance",
     )).alias("payload"))
 
 

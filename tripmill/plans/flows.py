@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+import logging
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripmill.functions import calendar
 from tripmill.operators import cleaning, metrics
 from tripmill.operators import model as duration_model
+from tripmill.settings import RMSE_LIMIT
 from tripmill.sinks.tables import write_trips_month
+from tripmill.sources.trips import load_month_with_backfill, month_exists
+
+log = logging.getLogger(__name__)
 
 
 @dataclass(frozen=True)
@@ -44,3 +51,26 @@ def train_and_record(spark: SparkSession, train: DataFrame, validation: DataFram
     error = metrics.rmse(scored).first()["rmse"]
     run_id = duration_model.record_run(spark, runs_path, params, {"rmse": error})
     return Trained(fitted, error, run_id)
+
+
+def monthly_run(spark: SparkSession, run_date: date, cache_root: str,
+                origin: Callable[[int, int], DataFrame], model_path: str, runs_path: str,
+                params: duration_model.TrainingParams = duration_model.TrainingParams()) -> Trained:
+    """One monthly run: months, availability, load with backfill, clean, train, record, gate.
+
+    The run is recorded before the gate, so a failed one can be looked up, too.
+    """
+    months = calendar.training_months(F.lit(run_date))
+    train_year, train_month, val_year, val_month = spark.range(1).select(*months).first()
+    for kind, year, month in (("training", train_year, train_month),
+                              ("validation", val_year, val_month)):
+        if not month_exists(spark, cache_root, year, month):
+            log.warning("%s month %d-%02d is not cached, reading the origin", kind, year, month)
+    train, validation = [
+        cleaning.clean_trips(load_month_with_backfill(spark, cache_root, year, month, origin))
+        for year, month in ((train_year, train_month), (val_year, val_month))
+    ]
+    trained = train_and_record(spark, train, validation, model_path, runs_path, params)
+    if trained.rmse is None or trained.rmse >= RMSE_LIMIT:
+        raise ValueError(f"model validation failed, RMSE {trained.rmse} of run {trained.run_id}")
+    return trained

@@ -13,7 +13,9 @@ CORRUPT = "_corrupt_record"
 def dataset_catalog(spark: SparkSession, root: str, suffix: str = ".parquet") -> DataFrame:
     """Key, size and time of every file under ``root`` that ends in ``suffix``.
 
-    The file content is a column of this source too, but it is not selected and so not read.
+    The file content is a column of this source too, but it is not selected and so not read. Tasks
+    are still planned by file size: for very many large files set
+    ``spark.sql.files.maxPartitionNum``.
     """
     return (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)

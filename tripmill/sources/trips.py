@@ -35,6 +35,15 @@ def scan_trips_month(spark: SparkSession, root: str, year: int, month: int,
     )
 
 
+def month_exists(spark: SparkSession, root: str, year: int, month: int) -> bool:
+    """Whether a month has a folder: a look-up of one path, no job."""
+    try:
+        scan_trips_month(spark, root, year, month)
+        return True
+    except AnalysisException:
+        return False
+
+
 def present_months(catalog: DataFrame) -> DataFrame:
     """Months that have files, from the paths of a catalogue alone: no file is opened."""
     def part(name: str) -> Column:
