@@ -73,6 +73,13 @@ def test_daily_report_limits_before_the_shuffle(spark, sf_dir):
     assert "WindowGroupLimit" in plan(R.predictions_per_day(spark, sf_dir))
 
 
+def test_daily_report_scans_once(spark, sf_dir):
+    df = R.predictions_per_day(spark, sf_dir)
+    df.collect()
+    text = plan(df).split("Initial Plan")[0]
+    assert text.count("FileScan") == 1 and "ReusedExchange" in text
+
+
 def test_latest_is_combined_before_the_shuffle(spark, sf_dir):
     assert "partial_max_by" in plan(R.latest_predictions(spark, sf_dir))
 

@@ -36,7 +36,7 @@ def trip_to_envelope(trips: DataFrame, fill: bool = False,
     dropoff_zone = (
         tf.zone_text(F.col("DOLocationID")) if "DOLocationID" in df.columns else F.lit("")
     )
-    id_zone = pickup_zone if "PULocationID" in df.columns else F.lit("unknown")
+    id_zone = pickup_zone if "PULocationID" in df.columns else F.lit(S.UNKNOWN_ZONE)
     counts = {name: _or_default(df, name, "int", 1) for name in REQUIRED_COUNTS}
     if fill:
         counts = {name: F.coalesce(value, F.lit(1)) for name, value in counts.items()}
@@ -60,7 +60,8 @@ def trip_to_envelope(trips: DataFrame, fill: bool = False,
     ]
     return df.select(
         *[c for c in ("trip_id",) if c in df.columns],
-        F.concat(F.lit("trip_"), epoch.cast("string"), F.lit("_"), id_zone).alias("event_id"),
+        F.concat(F.lit(S.ENVELOPE_ID_PREFIX), epoch.cast("string"), F.lit("_"), id_zone)
+        .alias("event_id"),
         F.lit(S.ENVELOPE_TYPE).alias("event_type"),
         wire.iso_text(when).alias("timestamp"),
         data.alias("data"),

@@ -65,18 +65,21 @@ def predictions_per_day(latest: DataFrame, shown: int = S.LISTED_PREDICTIONS) ->
     """Per day the number of predictions, the first few ride ids and how many more there are.
 
     The rank limit is applied in every task before the shuffle, so a day that holds most rows still
-    sends only a few per task; the counts are partial sums.
+    sends only a few per task; the counts are partial sums. Both come together in a union of a few
+    rows per day, which leaves the two branches alike, so the work below them is done once.
     """
     days = ["year", "month", "day"]
-    totals = latest.groupBy(*days).agg(F.count(F.lit(1)).alias("total"))
     rank = F.row_number().over(Window.partitionBy(*days).orderBy("ride_id"))
     first = (
         latest.select(*days, "ride_id").withColumn("position", rank)
         .where(F.col("position") <= shown)
-        .groupBy(*days)
-        .agg(F.array_sort(F.collect_list("ride_id")).alias("ids"))
+        .select(*days, "ride_id", F.lit(0).cast("bigint").alias("n"))
     )
-    return totals.join(first, days).select(
+    totals = latest.groupBy(*days).agg(F.count(F.lit(1)).alias("n")).select(
+        *days, F.lit(None).cast("string").alias("ride_id"), "n")
+    report = totals.unionByName(first).groupBy(*days).agg(
+        F.sum("n").alias("total"), F.array_sort(F.collect_list("ride_id")).alias("ids"))
+    return report.select(
         *days, "total", F.array_join("ids", ",").alias("first_ride_ids"),
         F.greatest(F.col("total") - shown, F.lit(0).cast("bigint")).alias("more"),
     )

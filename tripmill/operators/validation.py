@@ -22,11 +22,11 @@ def envelope_error(event: Column, check_zones: bool = False) -> Column:
     rules = [(event.isNull(), "not a JSON object")]
     for name in S.REQUIRED_ENVELOPE_FIELDS:
         absent = event[name].isNull() & ~has_key(KEYS, name)
-        rules.append((absent, f"Missing required field: {name}"))
+        rules.append((absent, S.MISSING_FIELD.format(name)))
     rules.append((data.isNull(), "data is not an object"))
     for name in S.REQUIRED_DATA_FIELDS:
         absent = data[name].isNull() & ~has_key(DATA_KEYS, name)
-        rules.append((absent, f"Missing required data field: {name}"))
+        rules.append((absent, S.MISSING_DATA_FIELD.format(name)))
     rules.append(_timestamp_rule(event["timestamp"]))
     for name in S.NUMERIC_DATA_FIELDS:
         wrong = data[name].isNotNull() & wire.number(data[name]).isNull()

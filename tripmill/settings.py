@@ -22,6 +22,10 @@ PREDICTION_DAY = "yyyy/MM/dd"
 
 # --- fixed values: trip envelopes -----------------------------------------------------------------
 ENVELOPE_TYPE = "taxi_trip_request"
+ENVELOPE_ID_PREFIX = "trip_"
+UNKNOWN_ZONE = "unknown"
+MISSING_FIELD = "Missing required field: {}"
+MISSING_DATA_FIELD = "Missing required data field: {}"
 REQUIRED_ENVELOPE_FIELDS = ("event_id", "event_type", "timestamp", "data")
 REQUIRED_DATA_FIELDS = ("pickup_location_id", "dropoff_location_id")
 NUMERIC_DATA_FIELDS = ("passenger_count", "trip_distance", "duration_minutes", "total_amount")
