@@ -93,3 +93,16 @@ def test_quarantine_with_a_trained_model(spark, sf_dir):
     assert written.count() == fixtures.ride_records(spark, sf_dir).count()
     assert written.where("outcome = 'accepted' and (is_default or predicted_duration is null)"
                          ).isEmpty()
+
+
+def test_any_source_maps_to_records(spark):
+    stream = records.stream_from(
+        spark, "rate-micro-batch", {"rowsPerBatch": "10"},
+        F.base64(F.concat(F.lit('{"trip_distance":'), F.col("value"), F.lit("}"))),
+        F.col("value"), F.col("timestamp").cast("timestamp_ntz"))
+    out = fresh_folder(spark, "out")
+    streams.finish(streams.stream_score(stream, _rate, out, fresh_folder(spark, "progress"),
+                                        {"once": True}))
+    got = streams.read_predictions(spark, out)
+    assert got.count() == 10
+    assert got.where("features.trip_distance <> sequence_number").isEmpty()

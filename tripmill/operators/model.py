@@ -132,7 +132,8 @@ def record_run(spark: SparkSession, root: str, params: TrainingParams,
     """Append one run to the table of runs."""
     run_id = run_id or uuid.uuid4().hex
     row = (run_id, {k: str(v) for k, v in asdict(params).items()}, metrics)
-    spark.createDataFrame([row], schemas.TRAINING_RUN).coalesce(1).write.mode("append").parquet(root)
+    one = spark.createDataFrame([row], schemas.TRAINING_RUN).coalesce(1)
+    one.write.mode("append").parquet(root)
     return run_id
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tripmill.functions import calendar
 from tripmill.operators import cleaning, metrics
 from tripmill.operators import model as duration_model
+from tripmill.operators.model import TrainingParams
 from tripmill.settings import RMSE_LIMIT
 from tripmill.sinks.tables import write_trips_month
 from tripmill.sources.trips import load_month_with_backfill, month_exists
@@ -41,7 +42,7 @@ def prepare_month(trips: DataFrame, root: str, year: int, month: int) -> None:
 
 def train_and_record(spark: SparkSession, train: DataFrame, validation: DataFrame,
                      model_path: str, runs_path: str,
-                     params: duration_model.TrainingParams = duration_model.TrainingParams()) -> Trained:
+                     params: TrainingParams = TrainingParams()) -> Trained:
     """Train on clean trips, measure on validation trips, store model and run.
 
     Whether the error is good enough is a separate step (``metrics.require_rmse``).
@@ -55,7 +56,7 @@ def train_and_record(spark: SparkSession, train: DataFrame, validation: DataFram
 
 def monthly_run(spark: SparkSession, run_date: date, cache_root: str,
                 origin: Callable[[int, int], DataFrame], model_path: str, runs_path: str,
-                params: duration_model.TrainingParams = duration_model.TrainingParams()) -> Trained:
+                params: TrainingParams = TrainingParams()) -> Trained:
     """One monthly run: months, availability, load with backfill, clean, train, record, gate.
 
     The run is recorded before the gate, so a failed one can be looked up, too.

