@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -17,6 +18,7 @@ def spark():
         "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
         "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g",
         "spark.sql.maxMetadataStringLength": "10000",  # plan tests read whole lists
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="tests-"),
     })
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -31,22 +30,18 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-_local_roots: dict[str, str] = {}
-
-
 def shared_root(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a local master, where driver and executors are one machine, gets a folder of its own.
+    Only a local master, where driver and executors are one machine, may leave it unset; the work
+    then goes beside the session's own tables. Whoever starts the session clears the folder.
     """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        if context.applicationId not in _local_roots:
-            _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        root = _local_roots[context.applicationId]
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/work"
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(root)
     return root.rstrip("/")
