@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,8 +14,29 @@ WORD = r"[^\x20\x09-\x0D]+"
 BATCH_ROWS = 512
 
 
-def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Bound the rows that Spark hands to Python at once; a smaller setting of the user stays."""
+_sent: set[str] = set()
+
+
+def send_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, so that they need no installed
+    copy of it."""
+    context = spark.sparkContext
+    if context.applicationId in _sent:
+        return
+    package = Path(__file__).resolve().parents[1]
+    # The driver serves the file to the executors as long as the application lives.
+    archive = Path(tempfile.mkdtemp(prefix="package-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _sent.add(context.applicationId)
+
+
+def for_python(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Ready the session for Python functions: the package is sent, and the rows that Spark hands over
+    at once are bounded; a smaller setting of the user stays."""
+    send_package(spark)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     held = int(spark.conf.get(key))
     if held <= 0 or held > rows:
