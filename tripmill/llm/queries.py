@@ -2,22 +2,79 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tripmill.llm import quality
-from tripmill.session import prepare
+from tripmill.llm import (
+    chosen_path, knn, langid, mixing, pieces, quality, secrets, tool_calls, url_rules, warc,
+)
+from tripmill.session import fresh_folder, prepare
 from tripmill.sources.fixtures import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: Folder of the public tokenizers' files.
+TOKENIZERS = os.environ.get("TOKENIZERS", "/opt/tokenizers")
+PIECE_MODEL = "piece_bpe_32k.model"
+QUERY_EVERY = 20
+
+
+def piece_model() -> str:
+    return os.path.join(TOKENIZERS, PIECE_MODEL)
+
+
+def op1_url_filter(spark, sf_dir):
+    return url_rules.url_filter(table(spark, sf_dir, "pages"))
+
+
+def op2_voronoi_knn(spark, sf_dir):
+    return knn.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % QUERY_EVERY == 0)
+
 
 def op3_distribution_divergence(spark, sf_dir):
     return quality.quality_rules(table(spark, sf_dir, "documents"))
 
 
-REGISTERED = (op3_distribution_divergence,)
+def op4_tool_call_linking(spark, sf_dir):
+    messages = tool_calls.as_tool_messages(table(spark, sf_dir, "conversations"))
+    linked = tool_calls.link(tool_calls.calls_of(messages), tool_calls.results_of(messages))
+    return tool_calls.serialised(linked).drop("result", "arguments")
+
+
+def op5_guess_cost(spark, sf_dir):
+    return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
+
+
+def op6_byte_network(spark, sf_dir):
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+def op7_gzip_normaliser(spark, sf_dir):
+    read = warc.archived(table(spark, sf_dir, "pages"), fresh_folder(spark, "warc"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to",
+                       "intact")
+
+
+def op8_fair_queueing(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op9_offset_encoding(spark, sf_dir):
+    return pieces.digests(table(spark, sf_dir, "documents"), piece_model())
+
+
+def op10_chosen_path(spark, sf_dir):
+    return chosen_path.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+REGISTERED = (
+    op1_url_filter, op2_voronoi_knn, op3_distribution_divergence, op4_tool_call_linking,
+    op5_guess_cost, op6_byte_network, op7_gzip_normaliser, op8_fair_queueing, op9_offset_encoding,
+    op10_chosen_path,
+)
 
 
 def registered() -> dict[str, Query]:
