@@ -151,7 +151,7 @@ def mixed(docs, key_of, weights=(3.0, 1.0, 2.0), share=1.5, most=2):
     taken, used = [0] * len(docs), 0
     for *_, place in sorted(queue):
         used += sizes[place]
-        if used > sum(target.values()) + 0.5:
+        if used > sum(target.values()) + 0.25:
             break
         taken[place] += sizes[place]
     return [(d[0], sizes[p], of[d[1]], target[d[1]], taken[p]) for p, d in enumerate(docs)]

@@ -79,5 +79,5 @@ def test_pair_tables_and_windows_agree_with_the_plain_network():
     assert windows[0].tobytes() == text[:16] and text.endswith(windows[-1].tobytes().rstrip(b"\0"))
     assert len(windows) == -(-(len(text) - 3) // 13)
     pooled = np.hstack([network._answers(windows, w).max(axis=1) for w in settings.widths])
-    plain = np.log(langid.softmax(np.maximum(pooled, 0) @ network.weights["out"]))
-    assert np.allclose(network.log_odds(windows), plain, atol=1e-4)
+    plain = langid.softmax(np.maximum(pooled, 0) @ network.weights["out"])
+    assert np.allclose(np.exp(network.log_odds(windows)), plain, atol=1e-4)

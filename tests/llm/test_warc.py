@@ -52,7 +52,7 @@ def test_defined_cases(spark):
 def test_normalised_archives_are_readable_member_by_member(spark, sf_dir):
     root = fresh_folder(spark, "warc")
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    whole = warc.write_archives(warc.with_record_types(pages), f"{root}/whole", archive_bytes=100_000)
+    whole = warc.write_archives(warc.with_record_types(pages), f"{root}/whole", archive_bytes=20_000)
     assert whole.count() > 2
     for r in whole.collect():
         data = open(r.path, "rb").read()

@@ -38,7 +38,8 @@ SEED = 42
 def queue_key(seed: int = SEED) -> Column:
     """Place of a document in its queue: a seeded hash of id and text, so that a shared or missing id
     still spreads."""
-    return F.xxhash64(F.lit(seed), F.col("doc_id"), F.xxhash64("text"))
+    return F.substring(F.md5(F.concat_ws("-", F.lit(str(seed)), F.col("doc_id").cast("string"),
+                                         F.md5(F.coalesce("text", F.lit(""))))), 1, 16)
 
 
 def source_targets(sources: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE,
@@ -133,8 +134,8 @@ def queue_limits(sized: DataFrame, targets: DataFrame, most: int = MOST) -> Data
          / F.col("target")).alias("_finish")).where(F.col("_finish").isNotNull())
     order = ["_finish", "_number", "_copy", "_key", "_id"]
     ordered = running_sum(copies, order, "size", "_total")
-    # Targets are doubles whose sum may miss a whole word by rounding.
-    budget = (targets.agg(F.sum("target")).first()[0] or 0.0) + 0.5
+    # Targets are doubles whose sum may miss a whole or half word by rounding.
+    budget = (targets.agg(F.sum("target")).first()[0] or 0.0) + 0.25
     inside = ordered.where(F.col("_total") <= budget)
     reached = inside.groupBy("_number", "_copy").agg(
         F.max(F.struct("_key", "size", "_id")).alias("_last"))

@@ -2,6 +2,262 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+from tripmill.llm import knn, mixing, quality, queries, tool_calls, url_rules, warc
+from tripmill.llm.common import WORD
+
+
+def quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def words(text: str) -> str:
+    return f"regexp_extract_all(coalesce({text}, ''), {quoted(WORD)})"
+
+
+# ---- op1 -------------------------------------------------------------------------------------------
+
+def url_filter() -> str:
+    rules = sorted(url_rules.HOST_RULES, key=lambda r: -len(r.name))
+    fits = [(f"(host = {quoted(r.host)} OR ends_with(host, {quoted('.' + r.host)})) "
+             f"AND starts_with(path, {quoted(r.path)})", r) for r in rules]
+    ordered = sorted(url_rules.PATTERN_RULES, key=lambda p: not p.startswith("@@"))
+    patterns = " ".join(
+        f"WHEN regexp_matches(low, {quoted(url_rules.regex_of(p.removeprefix('@@')))}, 's') "
+        f"THEN {quoted(p)}" for p in ordered)
+    return f"""
+WITH parts AS (
+  SELECT page_id, translate(coalesce(url, ''), '{url_rules.UPPER}', '{url_rules.LOWER}') AS low,
+         translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
+                   '{url_rules.UPPER}', '{url_rules.LOWER}') AS host,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+  FROM pages),
+judged AS (
+  SELECT page_id, host, path,
+         CASE {" ".join(f"WHEN {w} THEN {quoted(r.name)}" for w, r in fits)} END AS rule,
+         CASE {" ".join(f"WHEN {w} THEN {quoted(r.verdict)}" for w, r in fits)} END AS ruled,
+         CASE {patterns} END AS pattern
+  FROM parts)
+SELECT page_id, host, path, rule, pattern,
+       coalesce(ruled, CASE WHEN pattern IS NULL OR starts_with(pattern, '@@') THEN 'allow'
+                       ELSE 'block' END) AS verdict
+FROM judged"""
+
+
+# ---- op2 -------------------------------------------------------------------------------------------
+
+KNN = f"""
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding,
+           lambda x: floor({knn.SCALE} * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, d.vec_id, CAST(list_dot_product(q.v, d.v) AS BIGINT) AS score
+  FROM whole q JOIN whole d ON q.vec_id <> d.vec_id
+  WHERE q.vec_id % {queries.QUERY_EVERY} = 0),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place
+  FROM scored)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= {knn.K}"""
+
+
+# ---- op3 -------------------------------------------------------------------------------------------
+
+def _divergence(counts: Sequence[str], shares: Sequence[float], total: str) -> str:
+    parts = []
+    for count, share in zip(counts, shares, strict=True):
+        p, q = f"(({count}) / CAST({total} AS DOUBLE))", f"CAST({share!r} AS DOUBLE)"
+        m = f"(({p} + {q}) / 2)"
+        parts.append(f"(CASE WHEN {p} > 0 THEN {p} * log2({p} / {m}) ELSE 0 END"
+                     f" + CASE WHEN {q} > 0 THEN {q} * log2({q} / {m}) ELSE 0 END)")
+    return f"greatest(({' + '.join(parts)}) / 2, 0)"
+
+
+def _of_language(by_language: dict[str, str]) -> str:
+    cases = " ".join(f"WHEN lang = {quoted(k)} THEN {v}" for k, v in by_language.items())
+    return f"CASE {cases} ELSE least({', '.join(by_language.values())}) END"
+
+
+def divergence_rules() -> str:
+    common = sorted({w for s in quality.WORD_SHARES.values() for w in s})
+    counted = ", ".join(f"len(list_filter(w, lambda x: x = {quoted(c)})) AS c{i}"
+                        for i, c in enumerate(common))
+    classes = ", ".join(f"len(regexp_extract_all(t, {quoted(p)})) AS k_{n}"
+                        for n, p in quality.CLASSES.items())
+    names = [f"k_{n}" for n in quality.CLASSES]
+    bins = ["chars - word_chars", *names, "n_symbols",
+            f"word_chars - n_symbols - {' - '.join(names)}"]
+    by_class = {k: _divergence(bins, v, "chars") for k, v in quality.CLASS_SHARES.items()}
+    by_word = {}
+    for language, shares in quality.WORD_SHARES.items():
+        columns = [f"c{common.index(w)}" for w in shares]
+        by_word[language] = _divergence(
+            [*columns, f"n_words - {' - '.join(columns)}"],
+            [*shares.values(), 1 - sum(shares.values())], "n_words")
+    return f"""
+WITH texts AS (
+  SELECT row_number() OVER () AS row_id, doc_id, lang, coalesce(text, '') AS t,
+         {words('text')} AS w FROM documents),
+counts AS (
+  SELECT row_id, doc_id, lang, length(t) AS chars, len(w) AS n_words,
+         CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+         len(regexp_extract_all(t, {quoted(quality.SYMBOLS)})) AS n_symbols,
+         list_filter(string_split(t, chr(10)),
+                     lambda l: regexp_matches(l, {quoted(WORD)})) AS lines,
+         {classes}, {counted}
+  FROM texts),
+windows AS (
+  SELECT row_id, i, count(*) OVER (PARTITION BY row_id, w[i], w[i + 1], w[i + 2]) AS n
+  FROM (SELECT row_id, w, unnest(range(1, len(w) - 1)) AS i FROM texts)),
+repeats AS (
+  SELECT row_id, count(DISTINCT p) AS n_repeat_words
+  FROM (SELECT row_id, unnest([i, i + 1, i + 2]) AS p FROM windows WHERE n > 1) GROUP BY row_id),
+measured AS (
+  SELECT c.*, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+         coalesce(n_repeat_words, 0) AS n_repeat_words,
+         CASE WHEN chars >= {quality.MIN_COMPARED_CHARACTERS}
+              THEN sqrt({_of_language(by_class)}) END AS class_distance,
+         CASE WHEN n_words >= {quality.MIN_COMPARED_WORDS}
+              THEN sqrt({_of_language(by_word)}) END AS word_distance
+  FROM counts c LEFT JOIN repeats USING (row_id)),
+judged AS (
+  SELECT *, n_words < {quality.MIN_WORDS}
+            OR 100 * n_repeat_words > {quality.MAX_REPEAT_PERCENT} * n_words AS base_failed
+  FROM measured)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND coalesce(class_distance <= {quality.MAX_CLASS_DISTANCE}, true)
+       AND coalesce(word_distance <= {quality.MAX_WORD_DISTANCE}, true) AS kept,
+       round(class_distance, 6) AS class_distance, round(word_distance, 6) AS word_distance
+FROM judged"""
+
+
+# ---- op4 -------------------------------------------------------------------------------------------
+
+def tool_call_linking() -> str:
+    least, most = 1, int(tool_calls.SCHEMAS["answer"]["n_words"].most)
+    return f"""
+WITH RECURSIVE turns AS (
+  SELECT conv_id, turn, role, text, len({words('text')}) AS n,
+         'call-' || conv_id || '-' || turn AS own, 'call-' || conv_id || '-' || (turn - 1) AS before,
+         CASE WHEN turn >= 2 THEN 'call-' || conv_id || '-' || (turn - 2) END AS earlier
+  FROM conversations),
+calls AS (
+  SELECT *, ['answer', 'explain', 'guess'][n % 3 + 1] AS name,
+         CASE WHEN n % 3 = 1 THEN ['short', 'long', 'odd'][n % 4 % 3 + 1] END AS style
+  FROM turns WHERE role = 'user'),
+results AS (SELECT * FROM turns WHERE role = 'assistant'),
+levels AS (
+  SELECT own, CAST(0 AS BIGINT) AS level FROM calls
+  WHERE earlier IS NULL OR earlier NOT IN (SELECT own FROM calls)
+  UNION ALL
+  SELECT c.own, l.level + 1 FROM calls c JOIN levels l ON c.earlier = l.own),
+checked AS (
+  SELECT c.conv_id, c.turn, c.own AS call_id, c.name, l.level,
+         array_to_string(list_filter([
+           CASE WHEN name = 'guess' THEN 'unknown tool'
+                WHEN c.n < {least} THEN 'n_words: too small'
+                WHEN name = 'answer' AND c.n > {most} THEN 'n_words: too large' END,
+           CASE WHEN name <> 'guess' AND c.text IS NULL THEN 'question: missing' END,
+           CASE WHEN style = 'odd' THEN 'style: not a choice' END],
+           lambda e: e IS NOT NULL), '; ') AS errors,
+         c.earlier IS NOT NULL AND c.earlier NOT IN (SELECT own FROM calls) AS lost,
+         r.turn AS result_turn, r.text AS result, r.own IS NOT NULL AS answered,
+         '{{"n_words":' || c.n
+         || CASE WHEN c.earlier IS NOT NULL THEN ',"previous":{{"$result":"' || c.earlier || '"}}'
+            ELSE '' END
+         || CASE WHEN c.text IS NOT NULL THEN ',"question":' || CAST(to_json(c.text) AS VARCHAR)
+            ELSE '' END
+         || CASE WHEN style IS NOT NULL THEN ',"style":"' || style || '"' ELSE '' END
+         || '}}' AS arguments
+  FROM calls c JOIN levels l USING (own) LEFT JOIN results r ON r.before = c.own)
+SELECT conv_id, turn, call_id, name, level, errors, result_turn,
+       CAST(answered AS BIGINT) AS n_results,
+       CASE WHEN lost THEN 'missing_reference' WHEN errors <> '' THEN 'invalid'
+            WHEN NOT answered THEN 'unanswered' ELSE 'linked' END AS status,
+       '{{"arguments":' || arguments || ',"id":"' || call_id || '","name":"' || name || '","result":'
+       || CASE WHEN answered THEN CAST(to_json(coalesce(result, '')) AS VARCHAR) ELSE 'null' END
+       || '}}' AS message
+FROM checked
+UNION ALL
+SELECT conv_id, NULL, before, NULL, NULL, '', turn, 1, 'orphan',
+       '{{"arguments":null,"id":"' || before || '","name":"","result":'
+       || CAST(to_json(coalesce(text, '')) AS VARCHAR) || '}}'
+FROM results WHERE before NOT IN (SELECT own FROM calls)"""
+
+
+# ---- op7 -------------------------------------------------------------------------------------------
+
+ARCHIVED = f"""
+WITH payloads AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes,
+         sha1(coalesce(html, '')) AS payload_digest FROM pages),
+held AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS holder FROM payloads),
+typed AS (
+  SELECT *, payload_bytes >= {warc.MIN_REVISIT} AND holder IS NOT NULL
+            AND page_id IS DISTINCT FROM holder AS again FROM held)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN holder END AS refers_to, true AS intact
+FROM typed"""
+
+
+# ---- op8 -------------------------------------------------------------------------------------------
+
+MIXED = f"""
+WITH RECURSIVE sized AS (
+  SELECT row_number() OVER () AS row_id, doc_id, source, len({words('text')}) AS size,
+         substring(md5('{mixing.SEED}-' || coalesce(CAST(doc_id AS VARCHAR) || '-', '')
+                       || md5(coalesce(text, ''))), 1, 16) AS key
+  FROM documents),
+sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place
+  FROM sized GROUP BY source),
+weighed AS (
+  SELECT *, {list(mixing.WEIGHTS)}[place % {len(mixing.WEIGHTS)} + 1]::DOUBLE AS weight,
+         {mixing.MOST} * CAST(source_size AS DOUBLE) AS most FROM sources),
+rates AS (
+  SELECT 0 AS step, (SELECT CAST({mixing.SHARE} AS DOUBLE) * sum(source_size) / sum(weight)
+                     FROM weighed) AS rate
+  UNION ALL
+  SELECT step + 1, (SELECT (CAST({mixing.SHARE} AS DOUBLE) * sum(source_size)
+                            - sum(CASE WHEN weight * r.rate > most THEN most ELSE 0 END))
+                           / sum(CASE WHEN weight * r.rate > most THEN 0 ELSE weight END)
+                    FROM weighed)
+  FROM rates r WHERE step < 40),
+targets AS (
+  SELECT source, source_size, place,
+         least(weight * (SELECT rate FROM rates WHERE step = 40), most) AS target FROM weighed),
+queued AS (
+  SELECT s.*, t.place, t.target, t.source_size,
+         sum(s.size) OVER (PARTITION BY t.place ORDER BY s.key, s.size, coalesce(s.doc_id, 0)
+                           ROWS UNBOUNDED PRECEDING) AS ahead
+  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source WHERE s.size > 0),
+copies AS (
+  SELECT *, (CAST(ahead AS DOUBLE) + (copy - 1) * source_size) / target AS finish
+  FROM queued CROSS JOIN (SELECT unnest(range(1, {mixing.MOST} + 1)) AS copy)),
+ordered AS (
+  SELECT row_id, sum(size) OVER (ORDER BY finish, place, copy, key, coalesce(doc_id, 0)
+                                 ROWS UNBOUNDED PRECEDING) AS total FROM copies),
+taken AS (
+  SELECT row_id, count(*) AS n FROM ordered
+  WHERE total <= (SELECT sum(target) FROM targets) + 0.25 GROUP BY row_id)
+SELECT s.doc_id, CAST(s.size AS BIGINT) AS size, t.source_size, t.target,
+       CAST(s.size * coalesce(k.n, 0) AS BIGINT) AS taken
+FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+LEFT JOIN taken k USING (row_id)"""
+
 
 def all_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op1_url_filter": url_filter(),
+        "op2_voronoi_knn": KNN,
+        "op3_distribution_divergence": divergence_rules(),
+        "op4_tool_call_linking": tool_call_linking(),
+        "op7_gzip_normaliser": ARCHIVED,
+        "op8_fair_queueing": MIXED,
+    }

@@ -85,9 +85,9 @@ def repeated_window_words(words: str, exact: bool = False) -> str:
     if exact:
         spots = f"""transform(array(array_sort(transform(sequence(0, size({words}) - {WINDOW}),
             i -> struct(slice({words}, i + 1, {WINDOW}) AS k, i AS p)))), s ->
-            array_sort(array_distinct(flatten(transform(
+            CASE WHEN size(s) < 2 THEN array() ELSE array_sort(array_distinct(flatten(transform(
               filter(sequence(1, size(s) - 1), j -> s[j].k = s[j - 1].k),
-              j -> array(s[j].p, s[j - 1].p))))))[0]"""
+              j -> array(s[j].p, s[j - 1].p))))) END)[0]"""
     else:
         spots = f"""array_sort(array_distinct(flatten(transform(_same,
             j -> array(_windows[j] & {2 ** _POSITION_BITS - 1},
