@@ -21,36 +21,53 @@ def train(spark):
 
 @pytest.fixture(scope="module")
 def fitted(train, spark):
-    params = model.TrainingParams(rounds=3, depth=4)
+    params = model.TrainingParams(rounds=3, depth=4, partitions=4)
     path = fresh_folder(spark, "model")
     return path, model.train_duration_model(train, path, params)
 
 
 def test_one_hot_of_seen_and_unseen_routes(spark, train):
-    stages = features.fit_features(train)
-    assert stages.stages[0].labels == ["1_10", "1_11", "2_10", "2_11", "3_10", "3_11"]
+    fitted = features.fit_features(train, fresh_folder(spark, "features"))
+    routes = ["1_10", "1_11", "2_10", "2_11", "3_10", "3_11"]
+    assert [r.PU_DO for r in fitted.vocabulary.orderBy("route_index").collect()] == routes
     df = spark.createDataFrame([("2", "10", 2.5), ("9", "9", 1.5)],
                                "PULocationID string, DOLocationID string, trip_distance double")
-    seen, unseen = features.transform_features(df, stages).collect()
+    seen, unseen = features.transform_features(df, fitted).orderBy("PULocationID").collect()
     assert (seen.route_index, unseen.route_index) == (2, None)
     assert seen[features.FEATURES].toArray().tolist() == [0, 0, 1, 0, 0, 0, 2.5]
     assert unseen[features.FEATURES].toArray().tolist() == [0, 0, 0, 0, 0, 0, 1.5]
-    names = [r.feature for r in features.vocabulary(spark, stages).orderBy("feature_index").collect()]
-    assert names == [f"PU_DO={r}" for r in stages.stages[0].labels] + ["trip_distance"]
-
-
-def test_too_many_routes_are_refused(train):
-    with pytest.raises(ValueError):
-        features.check_vocabulary(train, limit=5)
+    names = [r.feature for r in features.vocabulary(fitted).orderBy("feature_index").collect()]
+    assert names == [f"PU_DO={r}" for r in routes] + ["trip_distance"]
 
 
 def test_route_means_are_drawn_towards_the_overall_mean(spark):
     df = spark.createDataFrame([("a", 10.0), ("a", 20.0), ("b", 40.0)],
                                "PU_DO string, duration double")
-    got = {r.PU_DO: r.route_mean for r in features.route_means(df, 20.0, 2.0).collect()}
+    mean = features.smoothed_mean(F.col("minutes"), F.col("trips"), 20.0, 2.0)
+    got = {r.PU_DO: r.m for r in features.route_sums(df).select("PU_DO", mean.alias("m")).collect()}
     assert got == {"a": pytest.approx((30 + 40) / 4), "b": pytest.approx((40 + 40) / 3)}
 
 
+def test_no_row_sees_its_own_duration(spark):
+    df = spark.createDataFrame([("a", 10.0), ("a", 20.0), ("b", 40.0)],
+                               "PU_DO string, duration double")
+    sums = features.route_sums(df)
+    got = {r.duration: r.route_mean
+           for r in features.with_other_trips_mean(df, sums, 20.0, 2.0).collect()}
+    assert got == {10.0: pytest.approx(20.0), 20.0: pytest.approx(50 / 3), 40.0: pytest.approx(20.0)}
+    bare = features.with_other_trips_mean(df, sums, 20.0, 0.0).collect()
+    assert {r.duration: r.route_mean for r in bare} == {10.0: 20.0, 20.0: 10.0, 40.0: None}
+
+
+def test_partitions_of_the_input_do_not_matter(spark, train):
+    params = model.TrainingParams(rounds=3, depth=30, partitions=4)
+    answers = [
+        sorted(r.prediction for r in model.predict(train, model.train_duration_model(
+            train.repartition(n, "trip_distance"), fresh_folder(spark, "model"), params)).collect())
+        for n in (4, 8)]
+    assert answers[0] == answers[1]
+
+
 def test_model_beats_the_mean(train, fitted):
     scored = model.predict(train, fitted[1])
     baseline = train.withColumn("prediction", F.lit(train.agg(F.avg("duration")).first()[0]))
@@ -60,7 +77,6 @@ def test_model_beats_the_mean(train, fitted):
 def test_stored_model_gives_the_same_predictions(spark, train, fitted):
     path, original = fitted
     loaded = model.load_model(spark, path)
-    assert loaded is model.load_model(spark, path)
     ours = sorted(r.prediction for r in model.predict(train, original).collect())
     assert ours == sorted(r.prediction for r in model.predict(train, loaded).collect())
 
@@ -83,10 +99,15 @@ def test_default_where_there_is_no_prediction(spark, fitted):
     assert model.score_or_default(df, fitted[1]).first().is_default is False
 
 
-def test_early_stop_ends_before_the_last_round(spark, train):
-    params = model.TrainingParams(rounds=6, depth=2, early_stop_tolerance=0.5)
-    stopped = model.train_duration_model(train, fresh_folder(spark, "model"), params, train)
-    assert model.tree_summary(spark, stopped).count() < 6
+def test_every_round_is_measured_and_patience_is_told(spark, train, fitted):
+    rows = model.validation_rounds(train, fitted[1], patience=1).orderBy("round").collect()
+    assert [r["round"] for r in rows] == [0, 1, 2]
+    errors = [r.rmse for r in rows]
+    assert rows[-1].best_round == errors.index(min(errors))
+    assert not any(r.out_of_patience for r in rows)  # on its own rows each round is better
+    far = train.withColumn("duration", F.col("duration") - 50)
+    worse = model.validation_rounds(far, fitted[1], patience=1).orderBy("round").collect()
+    assert [r.out_of_patience for r in worse] == [r["round"] - r.best_round >= 1 for r in worse]
 
 
 def test_no_rows_no_model(spark, train):
@@ -122,7 +143,7 @@ def test_monthly_run_fills_the_cache_and_records_even_a_failed_gate(spark, sf_di
     def run(limit):
         monkeypatch.setattr(flows, "RMSE_LIMIT", limit)
         return flows.monthly_run(spark, date(1998, 7, 31), folders[0], origin, *folders[1:],
-                                 model.TrainingParams(rounds=2, depth=2))
+                                 model.TrainingParams(rounds=2, depth=2, partitions=4))
 
     trained = run(1000.0)
     assert asked == [(1998, 3), (1998, 4)]

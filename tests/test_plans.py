@@ -4,24 +4,19 @@ import re
 
 import pytest
 
-import __spark_entry__ as driver
 from tripmill.operators import cleaning, predictions
 from tripmill.plans import registry as R
 from tripmill.session import fresh_folder
 from tripmill.sources import fixtures
 from tripmill.streaming import rides as streams
 
-TRAINED = {"train_duration_model", "train_with_validation", "batch_score", "score_or_default",
-           "model_store", "training_runs", "stream_score"}
-
-
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(driver.queries()) - TRAINED))
+@pytest.mark.parametrize("name", sorted(R.registered()))
 def test_no_python_no_cross_join_no_global_window(spark, sf_dir, name):
-    text = plan(driver.queries()[name](spark, sf_dir))
+    text = plan(R.registered()[name](spark, sf_dir))
     for node in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "CartesianProduct",
                  "BroadcastNestedLoopJoin"):
         assert node not in text
@@ -85,10 +80,15 @@ def test_latest_is_combined_before_the_shuffle(spark, sf_dir):
 
 
 def test_small_slices_are_top_k(spark, sf_dir):
-    assert "TakeOrderedAndProject" in plan(R.record_at_index(spark, sf_dir))
     assert "TakeOrderedAndProject" in plan(R.recent_events(spark, sf_dir))
     assert "TakeOrderedAndProject" in plan(R.table_preview(spark, sf_dir))
 
 
 def test_catalog_does_not_read_contents(spark, sf_dir):
     assert "content" not in plan(R.dataset_catalog(spark, sf_dir)).split("ReadSchema")[-1]
+
+
+def test_no_join_side_is_forced_to_be_broadcast(spark, sf_dir):
+    for query in (R.score_or_default, R.batch_score, R.transform_features):
+        logical = query(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+        assert "strategy=broadcast" not in logical

@@ -23,18 +23,26 @@ ORDER = sorted((f"k{i}" for i in range(3000)), key=digest)
     (0, 0), (0, 1), (0, 3000), (17, 18), (5, 2990), (1234, 1700), (2999, 3000), (2990, 4000),
     (3000, 3001), (9000, 9001),
 ])
-@pytest.mark.parametrize("top_k", [0, 10_000])
-def test_slice_is_the_slice_of_the_sorted_keys(spark, keys, start, stop, top_k):
-    got = sampling.rank_slice(keys, "key", start, stop, top_k=top_k).collect()
+@pytest.mark.parametrize("few", [1, 10_000])
+def test_slice_is_the_slice_of_the_sorted_keys(spark, keys, monkeypatch, start, stop, few):
+    monkeypatch.setattr(sampling, "FEW", few)
+    got = sampling.rank_slice(keys, "key", start, stop).collect()
     assert sorted(r.key for r in got) == sorted(ORDER[start:stop])
 
 
 def test_one_prefix_may_hold_the_whole_slice(spark, monkeypatch, keys):
     monkeypatch.setattr(sampling, "PREFIX_CHARACTERS", 1)
-    got = sampling.rank_slice(keys, "key", 3, 40, top_k=0).collect()
+    got = sampling.rank_slice(keys, "key", 3, 40).collect()
     assert sorted(r.key for r in got) == sorted(ORDER[3:40])
 
 
+def test_a_slice_is_one_filtered_scan_at_any_size(spark, sf_dir):
+    trips = fixtures.trips(spark, sf_dir)
+    for stop in (10, 2000, 5000):
+        text = sampling.rank_slice(trips, "trip_id", 0, stop)._jdf.queryExecution().executedPlan()
+        assert text.toString().count("FileScan") == 1 and "Sort" not in text.toString()
+
+
 @pytest.mark.parametrize("n, size", [(None, 3000), (0, 3000), (10, 10), (3000, 3000), (4000, 3000)])
 def test_sample_size_is_exact(spark, keys, n, size):
     assert sampling.seeded_sample(keys, "key", n).count() == size

@@ -10,10 +10,15 @@ from pyspark.sql import functions as F
 
 STRICT_JSON = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
-# Date, optionally followed by hours and minutes, seconds, a fraction and an offset.
+# Date, optionally followed by hours, minutes, seconds, a fraction and an offset.
 ISO_PATTERN = (
-    r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:?\d{2})?)?$"
+    r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}(:\d{2}(\.\d{1,9})?)?)?"
+    r"(Z|[+-]\d{2}:?\d{2}(:?\d{2})?)?)?$"
 )
+# Parts that Spark's own parser leaves out: a time of hours only, offsets without colons.
+HOURS_ONLY = r"^(\d{4}-\d{2}-\d{2}[T ]\d{2})(Z|[+-].*)?$"
+SHORT_OFFSET = r"([+-]\d{2})(\d{2})(\d{2})?$"
+LONG_OFFSET = r"T.*[+-]\d{4,6}$"
 
 
 def decoded_text(data: Column) -> Column:
@@ -46,7 +51,10 @@ def iso_instant(text: Column) -> Column:
 
     The pattern is checked first since a cast alone would also take ``2024`` or ``12:00:00``.
     """
-    return F.when(text.rlike(ISO_PATTERN), F.try_to_timestamp(text).cast("timestamp_ntz"))
+    timed = F.regexp_replace(text, HOURS_ONLY, "$1:00$2")
+    spelled = F.when(F.replace(timed, F.lit(" "), F.lit("T")).rlike(LONG_OFFSET), F.regexp_replace(
+        F.regexp_replace(timed, SHORT_OFFSET, "$1:$2:$3"), ":$", "")).otherwise(timed)
+    return F.when(text.rlike(ISO_PATTERN), F.try_to_timestamp(spelled).cast("timestamp_ntz"))
 
 
 def iso_text(ts: Column) -> Column:

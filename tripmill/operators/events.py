@@ -25,7 +25,8 @@ def trip_to_envelope(trips: DataFrame, fill: bool = False,
     """Trips to nested events, with a ``reason`` for rows that have no valid event.
 
     Event id and timestamp come from the event time (the pick-up unless given), so a replay gives
-    the same events. Counts must be integers: a null (or NaN) one rejects the row, or becomes 1
+    the same events; a hash of the trip's id, or of all its fields where it has none, keeps trips of
+    one zone and second apart. Counts must be integers: a null (or NaN) one rejects the row, or becomes 1
     with ``fill``.
     """
     df = trip_duration_if_absent(trips) if {PICKUP, DROPOFF} <= set(trips.columns) else trips
@@ -40,6 +41,8 @@ def trip_to_envelope(trips: DataFrame, fill: bool = False,
     counts = {name: _or_default(df, name, "int", 1) for name in REQUIRED_COUNTS}
     if fill:
         counts = {name: F.coalesce(value, F.lit(1)) for name, value in counts.items()}
+    whole = F.col("trip_id") if "trip_id" in df.columns else F.to_json(F.struct(*trips.columns))
+    own = F.substring(F.md5(F.coalesce(whole, F.lit(""))), 1, S.EVENT_HASH_CHARACTERS)
     epoch = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), when)
     data = F.struct(
         (wire.iso_text(F.col(PICKUP)) if PICKUP in df.columns else F.lit(None).cast("string"))
@@ -60,7 +63,8 @@ def trip_to_envelope(trips: DataFrame, fill: bool = False,
     ]
     return df.select(
         *[c for c in ("trip_id",) if c in df.columns],
-        F.concat(F.lit(S.ENVELOPE_ID_PREFIX), epoch.cast("string"), F.lit("_"), id_zone)
+        F.concat(F.lit(S.ENVELOPE_ID_PREFIX), epoch.cast("string"), F.lit("_"), id_zone,
+                 F.lit("_"), own)
         .alias("event_id"),
         F.lit(S.ENVELOPE_TYPE).alias("event_type"),
         wire.iso_text(when).alias("timestamp"),

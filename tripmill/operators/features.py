@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import dataclass
+
+from pyspark.ml.feature import (
+    OneHotEncoder, OneHotEncoderModel, SQLTransformer, VectorAssembler,
+)
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmill import settings as S
 from tripmill.functions import trips as tf
 
 ROUTE_INDEX = "route_index"
@@ -25,67 +27,91 @@ def with_route(df: DataFrame) -> DataFrame:
     )
 
 
-def check_vocabulary(train: DataFrame, limit: int = S.MAX_ROUTES) -> int:
-    """Number of routes; refuse more than can exist, since the fitted vocabulary is held on the
-    driver and sent to every executor."""
-    routes = train.select("PU_DO").distinct().count()
-    if routes > limit:
-        raise ValueError(f"{routes} routes found, at most {limit} exist: check the zone ids")
-    return routes
+@dataclass(frozen=True)
+class FittedFeatures:
+    """A stored vocabulary (route, place), its length, and the encoder for so many places."""
+
+    vocabulary: DataFrame
+    size: int
+    encoder: OneHotEncoderModel
 
 
-def fit_features(train: DataFrame) -> PipelineModel:
-    """One-hot route beside the distance, as sparse vectors.
+def fit_features(train: DataFrame, path: str) -> FittedFeatures:
+    """One-hot route beside the distance, as sparse vectors; the vocabulary is stored under ``path``.
 
-    The slot for unseen routes is the dropped one, so an unseen route is all zeros, and the width is
-    the number of routes seen in training plus one.
+    Places are given by a range sort of the routes and one count per range, so the vocabulary is a
+    table of any length that no single machine holds. Only its length comes to the driver.
     """
-    check_vocabulary(train)
-    index = StringIndexer(inputCol="PU_DO", outputCol=ROUTE_INDEX, handleInvalid="keep",
-                          stringOrderType="alphabetAsc")
-    one_hot = OneHotEncoder(inputCol=ROUTE_INDEX, outputCol="route_vector", dropLast=True)
+    spark = train.sparkSession
+    routes = train.select("PU_DO").where(F.col("PU_DO").isNotNull()).distinct()
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    routes.repartitionByRange(n, "PU_DO").withColumn("part", F.spark_partition_id()).write.mode(
+        "overwrite").parquet(f"{path}/routes")
+    ranged = spark.read.schema("PU_DO string, part int").parquet(f"{path}/routes")
+    # One row per range.
+    ahead = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    shift = ranged.groupBy("part").count().select(
+        "part", F.coalesce(F.sum("count").over(ahead), F.lit(0)).alias("shift"))
+    inside = F.row_number().over(Window.partitionBy("part").orderBy("PU_DO"))
+    ranged.withColumn("place", inside).join(shift, "part").select(
+        "PU_DO", (F.col("shift") + F.col("place") - 1).cast("bigint").alias(ROUTE_INDEX)
+    ).write.mode("overwrite").parquet(f"{path}/vocabulary")
+    stored = spark.read.schema(f"PU_DO string, {ROUTE_INDEX} bigint").parquet(f"{path}/vocabulary")
+    size = stored.count()
+    # One more place than routes: the last one, for unseen routes, is the dropped one.
+    widest = spark.range(1).select(F.lit(size).cast("double").alias("_slot"))
+    encoder = OneHotEncoder(inputCol="_slot", outputCol="route_vector", dropLast=True).fit(widest)
+    return FittedFeatures(stored, size, encoder)
+
+
+def transform_features(df: DataFrame, fitted: FittedFeatures) -> DataFrame:
+    """Feature vectors by an already fitted vocabulary; the index is null for unseen routes."""
+    placed = with_route(df).join(fitted.vocabulary, "PU_DO", "left").withColumn(
+        "_slot", F.coalesce(ROUTE_INDEX, F.lit(fitted.size)).cast("double"))
     together = VectorAssembler(inputCols=["route_vector", "trip_distance"], outputCol=FEATURES,
                                handleInvalid="keep")
-    return Pipeline(stages=[index, one_hot, together]).fit(train)
+    return together.transform(fitted.encoder.transform(placed)).drop("route_vector", "_slot")
 
 
-def transform_features(df: DataFrame, fitted: PipelineModel) -> DataFrame:
-    """Feature vectors by an already fitted vocabulary; the index is null for unseen routes."""
-    seen = len(fitted.stages[0].labels)
-    return (
-        fitted.transform(with_route(df)).drop("route_vector")
-        .withColumn(ROUTE_INDEX, F.when(F.col(ROUTE_INDEX) < seen,
-                                        F.col(ROUTE_INDEX).cast("bigint")))
-    )
+def vocabulary(fitted: FittedFeatures) -> DataFrame:
+    """Feature names and their positions."""
+    spark = fitted.vocabulary.sparkSession
+    distance = spark.range(1).select(F.lit(fitted.size).cast("bigint").alias("feature_index"),
+                                     F.lit("trip_distance").alias("feature"))
+    return fitted.vocabulary.select(
+        F.col(ROUTE_INDEX).alias("feature_index"),
+        F.concat(F.lit("PU_DO="), "PU_DO").alias("feature")).unionByName(distance)
 
 
-def vocabulary(spark: SparkSession, fitted: PipelineModel) -> DataFrame:
-    """Feature names and their positions; at most one row per possible route."""
-    routes = fitted.stages[0].labels
-    names = [f"PU_DO={r}" for r in routes] + ["trip_distance"]
-    return spark.createDataFrame(list(enumerate(names)), "feature_index bigint, feature string")
+def route_sums(train: DataFrame) -> DataFrame:
+    """Trips and minutes per route; partial sums reach the shuffle, so a route with very many trips is
+    one row per task there."""
+    return train.groupBy("PU_DO").agg(F.count("duration").alias("trips"),
+                                      F.sum("duration").alias("minutes"))
 
 
-def route_means(train: DataFrame, overall: float, smoothing: float) -> DataFrame:
-    """Mean duration per route, drawn towards the overall mean where a route has few trips.
+def smoothed_mean(minutes: Column, trips: Column, overall: float, smoothing: float) -> Column:
+    """Mean duration, drawn towards the overall mean where there are few trips; null without weight.
 
-    Spark's trees store every row densely, so 70,000 one-hot columns would cost 280 kB per row.
-    This single column lets one split separate any routes that differ in mean. Partial sums reach
-    the shuffle, so a route with very many trips is one row per task there.
+    Spark's trees store every row densely, so 70,000 one-hot columns would cost 280 kB per row. This
+    single column lets one split separate any routes that differ in mean.
     """
-    trips, minutes = F.count("duration"), F.sum("duration")
-    return train.groupBy("PU_DO").agg(
-        ((minutes + F.lit(smoothing * overall)) / (trips + F.lit(smoothing))).alias("route_mean")
-    )
+    weight = trips + F.lit(smoothing)
+    return F.when(weight > 0, (minutes + F.lit(smoothing * overall)) / weight)
 
 
 def with_route_mean(df: DataFrame, means: DataFrame) -> DataFrame:
-    """Add the mean of the route, null for unseen ones.
+    """Add the mean of the route, null for unseen ones; how to join is left to adaptive execution."""
+    return with_route(df).join(means.select("PU_DO", "route_mean"), "PU_DO", "left")
 
-    The broadcast is bounded: there are at most ``MAX_ROUTES`` means, as checked when they were
-    made, about 2 MB.
-    """
-    return with_route(df).join(F.broadcast(means), "PU_DO", "left")
+
+def with_other_trips_mean(train: DataFrame, sums: DataFrame, overall: float,
+                          smoothing: float) -> DataFrame:
+    """Training rows with the mean of the other trips of their route, so that no row's own duration
+    is part of its feature."""
+    own = F.col("duration")
+    return train.join(sums, "PU_DO", "left").withColumn("route_mean", smoothed_mean(
+        F.col("minutes") - own, F.col("trips") - 1, overall, smoothing)).drop("trips", "minutes")
 
 
 def tree_stages(overall: float) -> list:

@@ -30,3 +30,12 @@ def require_rmse(scored: DataFrame, limit: float = S.RMSE_LIMIT) -> float:
     if not row["passed"]:
         raise ValueError(f"model validation failed, RMSE {row['rmse']} is not below {limit}")
     return row["rmse"]
+
+
+def against_baseline(scored: DataFrame, baseline: float, label: str = "duration",
+                     prediction: str = "prediction") -> DataFrame:
+    """Rows, the error of predicting ``baseline`` for all, and whether the model's is lower."""
+    plain = F.sqrt(F.avg(F.pow(F.col(label) - F.lit(baseline), F.lit(2.0))))
+    return scored.agg(F.count(F.lit(1)).alias("n"), plain.alias("baseline_rmse"),
+                      F.coalesce(rmse_of(label, prediction) < plain, F.lit(False))
+                      .alias("beats_baseline"))

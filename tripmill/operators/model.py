@@ -13,32 +13,32 @@ from pyspark.sql import functions as F
 from tripmill import schemas
 from tripmill import settings as S
 from tripmill.operators.features import (
-    FEATURES, TREE_COLUMNS, check_vocabulary, route_means, tree_stages, with_route_mean,
+    FEATURES, TREE_COLUMNS, route_sums, smoothed_mean, tree_stages, with_other_trips_mean,
+    with_route_mean,
 )
 from tripmill.session import shared_root
 
-VALIDATION_FLAG = "is_validation"
-MEANS, TREES = "route_means", "trees"
+SUMS, MEANS, TREES = "route_sums", "route_means", "trees"
 
 
 @dataclass(frozen=True)
 class TrainingParams:
     """Boosting parameters.
 
-    ``min_leaf_share`` is the share of all rows a leaf must hold. At 0 a tree of depth 30 grows a
-    leaf for every few rows, and the driver holds all trees; a share of 1/1000 allows at most 1000
-    leaves per tree however many rows there are.
+    Two features of ``bins`` bins have at most ``bins`` squared cells, so a tree has at most 16,384
+    leaves however many rows there are; that bounds what the driver holds. Rows are dealt out by a
+    hash of their values over ``partitions`` parts, so the model does not depend on how they were
+    stored; set it to the cores of the cluster or a multiple.
     """
 
     rounds: int = S.BOOSTING_ROUNDS
     depth: int = S.TREE_DEPTH
     learning_rate: float = S.LEARNING_RATE
     min_rows_per_leaf: int = S.MIN_ROWS_PER_LEAF
-    min_leaf_share: float = 0.001
     bins: int = 128
     smoothing: float = 20.0
     seed: int = S.MODEL_SEED
-    early_stop_tolerance: float | None = None
+    partitions: int = 64
 
 
 @dataclass(frozen=True)
@@ -49,47 +49,59 @@ class DurationModel:
     trees: PipelineModel
 
 
-def train_duration_model(train: DataFrame, path: str, params: TrainingParams = TrainingParams(),
-                         validation: DataFrame | None = None) -> DurationModel:
+def train_duration_model(train: DataFrame, path: str,
+                         params: TrainingParams = TrainingParams()) -> DurationModel:
     """Boosted trees on route and distance with squared error, stored under ``path``.
 
-    With ``validation`` and a tolerance, boosting stops when the validation error stops improving;
-    the route means are still those of the training rows alone. The means are written before they
-    are used, so no later step goes back to the training rows for them.
+    One aggregate gives the routes' sums and through them the overall mean and the means for serving;
+    training rows get the mean of the other trips of their route.
     """
     spark = train.sparkSession
     shared_root(spark)  # boosting cuts its lineage there every few rounds
     columns = ["PU_DO", "trip_distance", "duration"]
     train = train.select(*columns)
-    cores = spark.sparkContext.defaultParallelism
-    if train.rdd.getNumPartitions() < cores:
-        # Every tree level passes over all rows, so a few large input files must not idle cores.
-        train = train.repartition(cores)
-    check_vocabulary(train)
-    overall = train.agg(F.avg("duration")).first()[0]
+    route_sums(train).write.mode("overwrite").parquet(f"{path}/{SUMS}")
+    sums = spark.read.schema(schemas.ROUTE_SUMS).parquet(f"{path}/{SUMS}")
+    overall = sums.agg(F.sum("minutes") / F.sum("trips")).first()[0]
     if overall is None:
         raise ValueError("there are no training rows")
-    means = route_means(train, overall, params.smoothing)
-    means.write.mode("overwrite").parquet(f"{path}/{MEANS}")
+    mean = smoothed_mean(F.col("minutes"), F.col("trips"), overall, params.smoothing)
+    sums.select("PU_DO", mean.alias("route_mean")).write.mode("overwrite").parquet(f"{path}/{MEANS}")
     means = read_means(spark, path)
     boosting = GBTRegressor(
         featuresCol=FEATURES, labelCol="duration", lossType="squared", maxIter=params.rounds,
         maxDepth=params.depth, stepSize=params.learning_rate, maxBins=params.bins,
-        minInstancesPerNode=params.min_rows_per_leaf,
-        minWeightFractionPerNode=params.min_leaf_share, seed=params.seed, maxMemoryInMB=512,
+        minInstancesPerNode=params.min_rows_per_leaf, seed=params.seed, maxMemoryInMB=512,
     )
-    rows = train
-    if validation is not None and params.early_stop_tolerance is not None:
-        boosting.setParams(validationIndicatorCol=VALIDATION_FLAG,
-                           validationTol=params.early_stop_tolerance)
-        rows = train.withColumn(VALIDATION_FLAG, F.lit(False)).unionByName(
-            validation.select(*columns).withColumn(VALIDATION_FLAG, F.lit(True)))
-    stages = [*tree_stages(overall), boosting]
-    trees = Pipeline(stages=stages).fit(with_route_mean(rows, means))
+    rows = with_other_trips_mean(train, sums, overall, params.smoothing).repartition(
+        params.partitions, F.xxhash64(*columns)).sortWithinPartitions(*columns)
+    trees = Pipeline(stages=[*tree_stages(overall), boosting]).fit(rows)
     trees.write().overwrite().save(f"{path}/{TREES}")
     return DurationModel(means, trees)
 
 
+def validation_rounds(validation: DataFrame, model: DurationModel,
+                      patience: int = S.PATIENCE_ROUNDS) -> DataFrame:
+    """One row per boosting round: the validation error of the rounds so far, which one is the best,
+    and whether by then ``patience`` rounds have gone by without a lower one.
+
+    All rounds are there to look at, so that a small gain of one round hides no later one.
+    """
+    *before, trees = model.trees.stages
+    rows = with_route_mean(validation, model.means)
+    for stage in before:
+        rows = stage.transform(rows)
+    errors = [e ** 0.5 for e in trees.evaluateEachIteration(
+        rows.select(FEATURES, "duration"), "squared")]
+    out, best = [], 0
+    for i, error in enumerate(errors):
+        if error < errors[best]:
+            best = i
+        out.append((i, float(error), best, i - best >= patience))
+    return validation.sparkSession.createDataFrame(
+        out, "round int, rmse double, best_round int, out_of_patience boolean")
+
+
 def read_means(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.ROUTE_MEANS).parquet(f"{path}/{MEANS}")
 
@@ -115,16 +127,9 @@ def score_or_default(requests: DataFrame, model: DurationModel | None) -> DataFr
     return with_default(predict(requests, model))
 
 
-_loaded: dict[tuple[str, str], DurationModel] = {}
-
-
-def load_model(spark: SparkSession, path: str, refresh: bool = False) -> DurationModel:
-    """A stored model, loaded once per application unless ``refresh`` is asked for."""
-    key = (spark.sparkContext.applicationId, path)
-    if refresh or key not in _loaded:
-        _loaded[key] = DurationModel(read_means(spark, path),
-                                     PipelineModel.load(f"{path}/{TREES}"))
-    return _loaded[key]
+def load_model(spark: SparkSession, path: str) -> DurationModel:
+    """A stored model as it is now."""
+    return DurationModel(read_means(spark, path), PipelineModel.load(f"{path}/{TREES}"))
 
 
 def record_run(spark: SparkSession, root: str, params: TrainingParams,

@@ -113,19 +113,21 @@ def batch_outcome(df: DataFrame, batch: Column, reason: str = "reason") -> DataF
 
 
 def ride_to_json(rides: DataFrame) -> DataFrame:
-    """Typed rides to JSON text."""
+    """Typed rides to JSON text; a missing id or time is an explicit null."""
+    when = F.col("timestamp" if "timestamp" in rides.columns else "pickup_datetime")
     return rides.select("*", F.to_json(F.struct(
         "ride_id", F.col("PULocationID").try_cast("int").alias("PULocationID"),
         F.col("DOLocationID").try_cast("int").alias("DOLocationID"), "trip_distance",
-    )).alias("payload"))
+        when.cast("string").alias("timestamp"),
+    ), {"ignoreNullFields": "false"}).alias("payload"))
 
 
 def ride_from_json(df: DataFrame) -> DataFrame:
     """JSON text to typed rides: integer zones and a distance are required, the id is optional."""
     typed = _parse_payload(df).withColumns({
         "ride_id": F.col("ride.ride_id"),
-        "PULocationID": F.col("ride.PULocationID").try_cast("int"),
-        "DOLocationID": F.col("ride.DOLocationID").try_cast("int"),
+        "PULocationID": wire.plain_zone(F.col("ride.PULocationID")).try_cast("int"),
+        "DOLocationID": wire.plain_zone(F.col("ride.DOLocationID")).try_cast("int"),
         "trip_distance": wire.number(F.col("ride.trip_distance")),
     })
     return typed.withColumn(

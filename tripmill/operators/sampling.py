@@ -1,57 +1,73 @@
 """Exact seeded samples and slices without a global sort.
 
-Rows are ordered by the MD5 of seed and unique key. A small top slice is a top-k. Otherwise the rank
-range is found by counting hash prefixes: at most 65,536 counts come to the driver whatever the
-table size, prefixes wholly inside the range pass through unshuffled, and only the two prefixes at
-its ends, about 1/65,536 of the rows each, are ranked exactly.
+Rows are ordered by the MD5 of seed and unique key. The first and the last row of a slice are found by
+counting hash prefixes: at most 65,536 counts come to the driver whatever the table size, and a
+prefix that still holds many rows is counted again by longer prefixes. The slice itself is then one
+scan that keeps the rows between the two; its rows come in no particular order, whatever its size.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmill import settings as S
 from tripmill.operators.events import trip_to_envelope, trip_to_ride_event
 from tripmill.operators.validation import validate_envelopes
 
-PREFIX_CHARACTERS = 4  # hexadecimal, so 16 ** 4 prefixes
-TOP_K = 10_000         # up to here a top-k per task is cheaper than a counting pass
+PREFIX_CHARACTERS = 4  # hexadecimal, so 16 ** 4 prefixes are counted at once
+HASH_CHARACTERS = 32
+FEW = 10_000           # rows of one prefix that are ordered instead of counted further
 
 
 def seeded_order(key: str, seed: int = S.SAMPLE_SEED) -> Column:
     return F.md5(F.concat(F.col(key).cast("string"), F.lit(f"-{seed}")))
 
 
-def rank_slice(df: DataFrame, key: str, start: int, stop: int, seed: int = S.SAMPLE_SEED,
-               top_k: int = TOP_K) -> DataFrame:
+def _counts(hashed: DataFrame, prefix: str) -> list[tuple[str, int]]:
+    """Rows by the next characters after a prefix, in order."""
+    longer = F.substring("_hash", 1, len(prefix) + PREFIX_CHARACTERS)
+    return sorted((r["p"], r["count"]) for r in hashed.where(F.col("_hash").startswith(prefix))
+                  .groupBy(longer.alias("p")).count().collect())
+
+
+def _bound(hashed: DataFrame, key: str, counts: list[tuple[str, int]], position: int):
+    """Hash and key of the row at a position; nothing beyond the last row."""
+    while True:
+        for prefix, n in counts:
+            if position < n:
+                break
+            position -= n
+        else:
+            return None
+        if n <= FEW or len(prefix) >= HASH_CHARACTERS:
+            group = hashed.where(F.col("_hash").startswith(prefix)).select("_hash", key)
+            return group.orderBy("_hash", key).offset(position).limit(1).first()
+        counts = _counts(hashed, prefix)
+
+
+def rank_slice(df: DataFrame, key: str, start: int, stop: int,
+               seed: int = S.SAMPLE_SEED) -> DataFrame:
     """The rows at positions ``start`` to ``stop - 1`` of the seeded order; ``key`` is unique."""
     if start < 0 or stop < start:
         raise ValueError("positions must satisfy 0 <= start <= stop")
-    if stop <= top_k:
-        return df.orderBy(seeded_order(key, seed), key).offset(start).limit(stop - start)
-    hashed = df.withColumn("_hash", seeded_order(key, seed))
-    prefix = F.substring("_hash", 1, PREFIX_CHARACTERS)
-    counts = sorted(hashed.groupBy(prefix.alias("p")).count().collect())
-    first = last = None
-    before_first = before_last = position = 0
-    for p, n in counts:
-        if first is None and position + n > start:
-            first, before_first = p, position
-        if position < stop:
-            last, before_last = p, position
-        position += n
-    if first is None:
+    keys = df.select(key).withColumn("_hash", seeded_order(key, seed))
+    counts = _counts(keys, "")
+    total = sum(n for _, n in counts)
+    if start >= min(stop, total):
         return df.limit(0)
-    ends = hashed.where(prefix.isin(first, last)).withColumn("_prefix", prefix)
-    rank = F.row_number().over(Window.partitionBy("_prefix").orderBy("_hash", key))
-    before = F.when(F.col("_prefix") == first, F.lit(before_first)).otherwise(F.lit(before_last))
-    position_at = rank + before - 1
-    ranked = ends.withColumn("_position", position_at).where(
-        (F.col("_position") >= start) & (F.col("_position") < stop)
-    )
-    inside = hashed.where((prefix > first) & (prefix < last))
-    return inside.drop("_hash").unionByName(ranked.drop("_hash", "_prefix", "_position"))
+    order = F.struct(seeded_order(key, seed).alias("_hash"), F.col(key).alias("_key"))
+
+    def at(position: int) -> Column:
+        found = _bound(keys, key, counts, position)
+        return F.struct(F.lit(found["_hash"]).alias("_hash"), F.lit(found[key]).alias("_key"))
+
+    wanted = F.lit(True)
+    if start:
+        wanted &= order >= at(start)
+    if stop < total:
+        wanted &= order <= at(stop - 1)
+    return df.where(wanted)
 
 
 def seeded_sample(df: DataFrame, key: str, n: int | None = None,
@@ -61,11 +77,15 @@ def seeded_sample(df: DataFrame, key: str, n: int | None = None,
 
 
 def record_at_index(df: DataFrame, key: str, index: int, seed: int = S.SAMPLE_SEED) -> DataFrame:
-    """The row at a position of the seeded order; an index beyond the table is an error."""
-    row = rank_slice(df, key, index, index + 1, seed)
-    if row.isEmpty():
+    """The row at a position of the seeded order; an index beyond the table is an error.
+
+    The counts tell both, so the row itself is not looked up before the caller asks for it.
+    """
+    keys = df.select(key).withColumn("_hash", seeded_order(key, seed))
+    found = _bound(keys, key, _counts(keys, ""), index) if index >= 0 else None
+    if found is None:
         raise IndexError(f"record index {index} is out of range")
-    return row
+    return df.where(F.col(key) == found[key])
 
 
 def batch_slice(trips: DataFrame, key: str, start: int, size: int,

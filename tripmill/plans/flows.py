@@ -47,21 +47,28 @@ def train_and_record(spark: SparkSession, train: DataFrame, validation: DataFram
 
     Whether the error is good enough is a separate step (``metrics.require_rmse``).
     """
-    fitted = duration_model.train_duration_model(train, model_path, params, validation)
+    fitted = duration_model.train_duration_model(train, model_path, params)
     scored = duration_model.predict(validation, fitted)
     error = metrics.rmse(scored).first()["rmse"]
     run_id = duration_model.record_run(spark, runs_path, params, {"rmse": error})
     return Trained(fitted, error, run_id)
 
 
-def monthly_run(spark: SparkSession, run_date: date, cache_root: str,
+def monthly_run(spark: SparkSession, run_date: date | None, cache_root: str,
                 origin: Callable[[int, int], DataFrame], model_path: str, runs_path: str,
-                params: TrainingParams = TrainingParams()) -> Trained:
+                params: TrainingParams = TrainingParams(),
+                training_month: tuple[int, int] | None = None) -> Trained:
     """One monthly run: months, availability, load with backfill, clean, train, record, gate.
 
-    The run is recorded before the gate, so a failed one can be looked up, too.
+    Without a run date a given training month and the one after it are taken. The run is recorded
+    before the gate, so a failed one can be looked up, too.
     """
-    months = calendar.training_months(F.lit(run_date))
+    if run_date is not None:
+        months = calendar.training_months(F.lit(run_date))
+    elif training_month is not None:
+        months = calendar.training_months_fallback(*map(F.lit, training_month))
+    else:
+        raise ValueError("a run date or a training month is needed")
     train_year, train_month, val_year, val_month = spark.range(1).select(*months).first()
     for kind, year, month in (("training", train_year, train_month),
                               ("validation", val_year, val_month)):

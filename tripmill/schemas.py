@@ -59,3 +59,5 @@ TRAINING_RUN = "run_id STRING, params MAP<STRING,STRING>, metrics MAP<STRING,DOU
 LANDED_ENVELOPE = "trip_id STRING, event_id STRING, payload STRING, error STRING, valid BOOLEAN"
 
 ROUTE_MEANS = "PU_DO STRING, route_mean DOUBLE"
+
+ROUTE_SUMS = "PU_DO STRING, trips BIGINT, minutes DOUBLE"

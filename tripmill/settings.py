@@ -23,6 +23,7 @@ PREDICTION_DAY = "yyyy/MM/dd"
 # --- fixed values: trip envelopes -----------------------------------------------------------------
 ENVELOPE_TYPE = "taxi_trip_request"
 ENVELOPE_ID_PREFIX = "trip_"
+EVENT_HASH_CHARACTERS = 16
 UNKNOWN_ZONE = "unknown"
 MISSING_FIELD = "Missing required field: {}"
 MISSING_DATA_FIELD = "Missing required data field: {}"
@@ -46,6 +47,5 @@ RMSE_LIMIT = 10.0
 # A minimum child weight of 1.06 with squared error (every row weighs 1) asks for two rows per leaf.
 MIN_ROWS_PER_LEAF = 2
 
-# --- our own bounds -------------------------------------------------------------------------------
-# Zones are 1..265, so at most 265 * 265 routes exist; a vocabulary beyond that is bad input.
-MAX_ROUTES = LAST_ZONE * LAST_ZONE
+# Training would end after so many rounds without a lower validation error.
+PATIENCE_ROUNDS = 50

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Callable
 from datetime import date
 
@@ -44,36 +45,64 @@ def month_exists(spark: SparkSession, root: str, year: int, month: int) -> bool:
         return False
 
 
-def present_months(catalog: DataFrame) -> DataFrame:
-    """Months that have files, from the paths of a catalogue alone: no file is opened."""
+def month_files(catalog: DataFrame) -> DataFrame:
+    """Files and bytes per month, from the paths of a catalogue alone: no file is opened."""
     def part(name: str) -> Column:
         return F.regexp_extract("key", rf"/{name}=(\d+)/", 1).try_cast("int").alias(name)
 
-    return catalog.select(part("year"), part("month")).where(
+    return catalog.select(part("year"), part("month"), "size").where(
         F.col("year").isNotNull() & F.col("month").isNotNull()
-    ).distinct()
+    ).groupBy("year", "month").agg(F.count(F.lit(1)).alias("n_files"),
+                                   F.sum("size").alias("n_bytes"))
+
+
+def present_months(catalog: DataFrame) -> DataFrame:
+    """Months that have files."""
+    return month_files(catalog).select("year", "month")
+
+
+MANIFEST, MANIFEST_COLUMNS = "manifest", "data STRING, n_rows BIGINT"
+
+
+def _cached_month(spark: SparkSession, path: str) -> DataFrame | None:
+    """The month that the manifest names, if all its rows are there."""
+    published = spark.read.schema(MANIFEST_COLUMNS).parquet(f"{path}/{MANIFEST}").collect()
+    if len(published) != 1:
+        return None
+    data = f"{path}/{published[0]['data']}"
+    stored = spark.read.schema(spark.read.parquet(data).schema).parquet(data)
+    # The count comes from the footers alone.
+    return stored if stored.count() == published[0]["n_rows"] else None
 
 
 def load_month_with_backfill(spark: SparkSession, cache_root: str, year: int, month: int,
                              origin: Callable[[int, int], DataFrame]) -> DataFrame:
     """The cached month, or the origin's month, which is then written to the cache.
 
-    Reading one footer for the schema tells whether the cached month exists and opens. A cache that
-    cannot be written costs a warning only.
+    A month is written into a folder of its own; its manifest, with that folder and the number of
+    rows, is published last. A month without a manifest, or with other rows than it says, is not there.
+    A cache that cannot be written costs a warning only.
     """
     path = f"{cache_root}/year={year}/month={month}"
     try:
-        return spark.read.schema(spark.read.parquet(path).schema).parquet(path)
+        stored = _cached_month(spark, path)
+        if stored is not None:
+            return stored
+        log.warning("cached month %s is incomplete, reading the origin", path)
     except _FAILURES as missing:
         if not isinstance(missing, AnalysisException):
             log.warning("cached month %s is unreadable, reading the origin: %s", path, missing)
     fresh = origin(year, month)
+    data = f"data-{uuid.uuid4().hex}"
     try:
-        fresh.write.mode("overwrite").parquet(path)
+        fresh.write.parquet(f"{path}/{data}")
+        stored = spark.read.schema(fresh.schema).parquet(f"{path}/{data}")
+        manifest = spark.createDataFrame([(data, stored.count())], MANIFEST_COLUMNS)
+        manifest.coalesce(1).write.mode("overwrite").parquet(f"{path}/{MANIFEST}")
     except _FAILURES as failure:
         log.warning("month %s-%02d was not cached: %s", year, month, failure)
         return fresh
-    return spark.read.schema(fresh.schema).parquet(path)
+    return stored
 
 
 def month_availability(required: DataFrame, present: DataFrame) -> DataFrame:
