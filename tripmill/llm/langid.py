@@ -33,6 +33,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 from tripmill.llm.common import for_python
 
 UNDETERMINED = "und"
+SPARE = 4.0
 
 
 @dataclass(frozen=True)
@@ -59,11 +60,17 @@ def held_out(doc_id: Column) -> Column:
 
 def training_windows(docs: DataFrame, settings: Settings = Settings()) -> pd.DataFrame:
     """The bounded sample: ``lang`` and ``part``, windows at seeded places of labelled texts."""
-    order = F.xxhash64(F.lit(settings.seed), "doc_id")
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("_order", "doc_id"))
     labelled = docs.where(F.col("lang").isNotNull() & (F.length("text") > 0)
                           & ~held_out(F.col("doc_id")))
-    chosen = labelled.select("doc_id", "lang", order.alias("_order"), F.transform(
+    # Hashes are even over 64 bits, so this bound lets about SPARE times the wanted rows of a language
+    # through, however many it has and in however many parts they lie.
+    bound = F.lit(SPARE * settings.per_language) / F.col("_n") * 2.0 ** 64 - 2.0 ** 63
+    order = F.xxhash64(F.lit(settings.seed), "doc_id")
+    counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
+    few = labelled.join(counts, "lang").withColumn("_order", order).where(
+        F.col("_order").cast("double") <= bound)
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("_order", "doc_id"))
+    chosen = few.select("doc_id", "lang", "_order", F.transform(
         F.sequence(F.lit(0), F.lit(settings.windows - 1)),
         lambda i: F.substring(F.col("text"), (F.lit(1) + F.pmod(
             F.xxhash64("doc_id", i), F.greatest(F.length("text") - settings.window // 2,
