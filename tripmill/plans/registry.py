@@ -78,7 +78,7 @@ def _evaluated(spark, sf_dir):
         "duration", (F.col("trip_distance") / F.lit(0.4)).alias("prediction"))
 
 
-def _landed_months(spark, sf_dir) -> str:
+def landed_months(spark, sf_dir) -> str:
     def make():
         root = fresh_folder(spark, "months")
         sinks.write_trips_month(_trips(spark, sf_dir), root)
@@ -86,7 +86,7 @@ def _landed_months(spark, sf_dir) -> str:
     return _once(spark, sf_dir, "months", make)
 
 
-def _landed_records(spark, sf_dir) -> str:
+def landed_records(spark, sf_dir) -> str:
     def make():
         root = fresh_folder(spark, "records")
         fixtures.ride_records(spark, sf_dir).write.parquet(root)
@@ -99,11 +99,11 @@ def _entries(spark, sf_dir) -> DataFrame:
     return predictions.prediction_log(model.with_default(_rate(accepted)))
 
 
-def _landed_predictions(spark, sf_dir) -> DataFrame:
+def landed_predictions(spark, sf_dir) -> DataFrame:
     def make():
         root = fresh_folder(spark, "predictions")
         streams.finish(streams.stream_score(
-            records.stream_rides(spark, _landed_records(spark, sf_dir)), _rate, root,
+            records.stream_rides(spark, landed_records(spark, sf_dir)), _rate, root,
             fresh_folder(spark, "progress")))
         return root
     return streams.read_predictions(spark, _once(spark, sf_dir, "predictions", make))
@@ -118,7 +118,7 @@ def _flat(entries: DataFrame) -> DataFrame:
 # ---- sources and sinks -------------------------------------------------------------------------
 
 def scan_trips_month(spark, sf_dir):
-    return trip_source.scan_trips_month(spark, _landed_months(spark, sf_dir), *SCAN_MONTH)
+    return trip_source.scan_trips_month(spark, landed_months(spark, sf_dir), *SCAN_MONTH)
 
 
 def load_month_with_backfill(spark, sf_dir):
@@ -133,7 +133,7 @@ def load_month_with_backfill(spark, sf_dir):
 
 def dataset_catalog(spark, sf_dir):
     """Months of the landed trips as the catalogue shows them: files there, and months in all."""
-    files = documents.dataset_catalog(spark, _landed_months(spark, sf_dir))
+    files = documents.dataset_catalog(spark, landed_months(spark, sf_dir))
     months = trip_source.month_files(files)
     total = months.select(F.count(F.lit(1))).scalar()
     return months.select("year", "month", (F.col("n_files") > 0).alias("has_files"),
@@ -146,7 +146,7 @@ def month_availability(spark, sf_dir):
         fixtures.table(spark, sf_dir, "orders").select(run_date.alias("run_date")).distinct()
         .select("run_date", *calendar.training_months(F.col("run_date")))
     )
-    catalog = documents.dataset_catalog(spark, _landed_months(spark, sf_dir))
+    catalog = documents.dataset_catalog(spark, landed_months(spark, sf_dir))
     return trip_source.month_availability(required, trip_source.present_months(catalog))
 
 
@@ -174,7 +174,7 @@ def recent_events(spark, sf_dir):
 
 def stream_rides(spark, sf_dir):
     out = fresh_folder(spark, "landed")
-    stream = records.stream_rides(spark, _landed_records(spark, sf_dir))
+    stream = records.stream_rides(spark, landed_records(spark, sf_dir))
     streams.finish(
         stream.writeStream.format("parquet").option("path", out)
         .option("checkpointLocation", fresh_folder(spark, "progress"))
@@ -183,7 +183,7 @@ def stream_rides(spark, sf_dir):
 
 
 def write_trips_month(spark, sf_dir):
-    root = _landed_months(spark, sf_dir)
+    root = landed_months(spark, sf_dir)
     return spark.read.schema(schemas.TRIP_MONTHS).parquet(root)
 
 
@@ -194,7 +194,7 @@ def write_predictions(spark, sf_dir):
 
 
 def latest_predictions(spark, sf_dir):
-    return _flat(predictions.latest_predictions(_landed_predictions(spark, sf_dir)))
+    return _flat(predictions.latest_predictions(landed_predictions(spark, sf_dir)))
 
 
 def export_json(spark, sf_dir):
@@ -288,7 +288,7 @@ def duration_filter(spark, sf_dir):
 
 
 def pickup_month_filter(spark, sf_dir):
-    stored = spark.read.schema(schemas.TRIP_MONTHS).parquet(_landed_months(spark, sf_dir))
+    stored = spark.read.schema(schemas.TRIP_MONTHS).parquet(landed_months(spark, sf_dir))
     return cleaning.pickup_month_filter(stored, *SCAN_MONTH).select("trip_id", cleaning.PICKUP)
 
 
@@ -327,7 +327,7 @@ def load_transform_validate(spark, sf_dir):
 
 def ride_id_lookup(spark, sf_dir):
     return _flat(predictions.ride_id_lookup(
-        _landed_predictions(spark, sf_dir), LOOKUP_TEXT, *LOOKUP_DAY))
+        landed_predictions(spark, sf_dir), LOOKUP_TEXT, *LOOKUP_DAY))
 
 
 # ---- aggregates --------------------------------------------------------------------------------
@@ -352,12 +352,12 @@ def batch_outcome(spark, sf_dir):
 
 
 def predictions_per_day(spark, sf_dir):
-    latest = predictions.latest_predictions(_landed_predictions(spark, sf_dir))
+    latest = predictions.latest_predictions(landed_predictions(spark, sf_dir))
     return predictions.predictions_per_day(latest)
 
 
 def recent_predictions(spark, sf_dir):
-    latest = predictions.latest_predictions(_landed_predictions(spark, sf_dir))
+    latest = predictions.latest_predictions(landed_predictions(spark, sf_dir))
     return _flat(predictions.since(latest, REPORT_TIME, REPORT_HOURS))
 
 
@@ -464,7 +464,7 @@ def transform_features(spark, sf_dir):
         "trip_id", "PU_DO", features.ROUTE_INDEX, "trip_distance")
 
 
-def _trained(spark, sf_dir):
+def trained(spark, sf_dir):
     """Model folder, run table and run id of one training, shared by the model queries."""
     def make():
         model_path, runs_path = fresh_folder(spark, "model"), fresh_folder(spark, "runs")
@@ -475,7 +475,7 @@ def _trained(spark, sf_dir):
 
 
 def _model(spark, sf_dir):
-    return model.load_model(spark, _trained(spark, sf_dir)[0])
+    return model.load_model(spark, trained(spark, sf_dir)[0])
 
 
 def _scored(spark, sf_dir):
@@ -489,7 +489,7 @@ def _training_mean(spark, sf_dir) -> float:
 def train_duration_model(spark, sf_dir):
     """One row per round, and whether the whole model is better than the mean of the training rows."""
     better = metrics.against_baseline(_scored(spark, sf_dir), _training_mean(spark, sf_dir)).first()
-    return model.tree_summary(spark, _trained(spark, sf_dir)[2].model).select(
+    return model.tree_summary(spark, trained(spark, sf_dir)[2].model).select(
         "round", F.round("weight", 6).alias("weight"),
         F.lit(round(better["baseline_rmse"], 4)).alias("baseline_rmse"),
         F.lit(better["beats_baseline"]).alias("beats_baseline"))
@@ -497,7 +497,7 @@ def train_duration_model(spark, sf_dir):
 
 def train_with_validation(spark, sf_dir):
     """The validation error of every round, compared with the least of all."""
-    rounds = model.validation_rounds(_split(spark, sf_dir)[1], _trained(spark, sf_dir)[2].model)
+    rounds = model.validation_rounds(_split(spark, sf_dir)[1], trained(spark, sf_dir)[2].model)
     best = rounds.agg(F.min("rmse").alias("least"), F.max_by("best_round", "round").alias("last"),
                       F.min_by("round", "rmse").alias("at")).first()
     return rounds.select(
@@ -533,7 +533,7 @@ def default_prediction(spark, sf_dir):
 def model_store(spark, sf_dir):
     """Whether the fitted and the stored model predict the same, for each validation trip."""
     _, validation_rows = _split(spark, sf_dir)
-    fitted = model.predict(validation_rows, _trained(spark, sf_dir)[2].model)
+    fitted = model.predict(validation_rows, trained(spark, sf_dir)[2].model)
     both = model.predict(fitted.withColumnRenamed("prediction", "fitted_prediction"),
                          _model(spark, sf_dir))
     same = F.col("fitted_prediction").eqNullSafe(F.col("prediction"))
@@ -542,8 +542,8 @@ def model_store(spark, sf_dir):
 
 def training_runs(spark, sf_dir):
     """The parameters of the run, and whether its error is recorded."""
-    _, runs_path, trained = _trained(spark, sf_dir)
-    run = model.training_runs(spark, runs_path, trained.run_id)
+    _, runs_path, made = trained(spark, sf_dir)
+    run = model.training_runs(spark, runs_path, made.run_id)
     return run.select(F.explode("params").alias("name", "value"),
                       (F.col("metrics")["rmse"] > 0).alias("has_rmse"))
 
@@ -591,7 +591,7 @@ def stream_score(spark, sf_dir):
     out = fresh_folder(spark, "scored")
     fitted = _model(spark, sf_dir)
     streams.finish(streams.stream_score(
-        records.stream_rides(spark, _landed_records(spark, sf_dir)),
+        records.stream_rides(spark, landed_records(spark, sf_dir)),
         lambda requests: model.predict(requests, fitted), out, fresh_folder(spark, "progress")))
     batch = _scored_requests(spark, sf_dir).select(
         "sequence_number", F.col("predicted_duration").alias("batch_duration"))
@@ -603,13 +603,13 @@ def stream_score(spark, sf_dir):
 
 
 def stream_write_predictions(spark, sf_dir):
-    return _flat(_landed_predictions(spark, sf_dir))
+    return _flat(landed_predictions(spark, sf_dir))
 
 
 def stream_quarantine(spark, sf_dir):
     out = fresh_folder(spark, "quarantine")
     streams.finish(streams.stream_quarantine(
-        records.stream_rides(spark, _landed_records(spark, sf_dir)), _rate, out,
+        records.stream_rides(spark, landed_records(spark, sf_dir)), _rate, out,
         fresh_folder(spark, "progress")))
     return spark.read.parquet(out).groupBy("outcome", "reason").agg(
         F.count(F.lit(1)).alias("n"), F.count_if("is_default").alias("defaults"))
