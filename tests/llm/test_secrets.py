@@ -1,7 +1,9 @@
+import zipfile
+
 import pytest
 from brute import as_dicts, base_spans, rows, sha256
 
-from tripmill.llm import queries, secrets
+from tripmill.llm import common, queries, secrets
 
 KINDS = ("assign", "access", "hex")
 
@@ -73,3 +75,28 @@ def test_redaction_leaves_no_span_and_the_rest(spark):
     got = {r["doc_id"]: r for r in as_dicts(secrets.redact(docs))}
     assert got[1]["text"] == "a [secret] b" and got[2]["text"] is None
     assert got[3]["text"] == "clean" and got[3]["n_chars"] == 5
+
+
+@pytest.mark.parametrize("text", [
+    "Your password is incorrect", "the secret is patience", "The password is required.",
+    "Each token is represented by a number", "The credential is unauthorized", "password: required",
+    "A token is authenticated here", "the secret is misunderstandings", "Passphrase is misconfigured",
+    "a basic understanding", "Basic responsibilities", "password is case-sensitive"])
+def test_prose_after_a_context_is_clean(text):
+    assert not secrets.guessed_spans(text, secrets.MIN_LOG10_GUESSES)
+
+
+def test_prose_is_clean_and_secrets_are_not_in_spark(spark):
+    docs = spark.createDataFrame([(1, "Your password is incorrect, the secret is patience"),
+                                  (2, "the password is kX9#fmQ2vT7")], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in as_dicts(secrets.redact(docs))}
+    assert got[1]["text"] == "Your password is incorrect, the secret is patience"
+    assert got[2]["text"] == "the password is [secret]"
+
+
+def test_the_word_list_goes_to_the_workers(spark, monkeypatch):
+    sent = []
+    monkeypatch.setattr(common, "_sent", set())
+    monkeypatch.setattr(type(spark.sparkContext), "addPyFile", lambda self, path: sent.append(path))
+    common.send_package(spark)
+    assert "tripmill/llm/words.txt" in zipfile.ZipFile(sent[0]).namelist()

@@ -27,7 +27,7 @@ def send_package(spark: SparkSession) -> None:
     # The driver serves the file to the executors as long as the application lives.
     archive = Path(tempfile.mkdtemp(prefix="package-")) / f"{package.name}.zip"
     with zipfile.ZipFile(archive, "w") as out:
-        for source in sorted(package.rglob("*.py")):
+        for source in sorted([*package.rglob("*.py"), *package.rglob("*.txt")]):
             out.write(source, source.relative_to(package.parent))
     context.addPyFile(str(archive))
     _sent.add(context.applicationId)

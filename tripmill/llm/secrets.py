@@ -7,6 +7,12 @@ segmentation of the value into dictionary words, dates, repeats, keyboard walks
 spans, found by dynamic programming over its positions. A value that costs at least
 ``min_log10_guesses`` is a secret; ``changeme`` or ``2024-01-01`` is not.
 
+The dictionary has the hundred ``WORDS`` that guessers try first and after them the 37,659 entries of
+``words.txt`` by rank (common English words; its head says where they come from), so that prose such
+as ``the password is incorrect`` holds no secret. A word that it lacks is put together from its
+entries and single letters, which is dearer; a long word without known parts still counts as a
+secret, which concerns other languages above all, as the list is English.
+
 The dynamic programme is linear in the value's length (no segment but a brute-force one is longer
 than ``MAX_SEGMENT``, and brute-force spans are made of single characters), so whole values of any
 length are judged. One row at a time is held.
@@ -20,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import pkgutil
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -49,7 +56,7 @@ CONTEXTS = (
 )
 
 # --- fixed values: guessing tables ------------------------------------------------------------------
-#: Words that guessers try first, the commonest first.
+#: Words that guessers try first, the commonest first; those of ``words.txt`` come after them.
 WORDS = (
     "password", "letmein", "welcome", "monkey", "dragon", "master", "login", "admin", "qwerty",
     "iloveyou", "princess", "sunshine", "football", "baseball", "shadow", "superman", "batman",
@@ -75,8 +82,10 @@ MIN_LOG10_GUESSES = 10.0
 MIN_VALUE = 6
 MAX_SEGMENT = 40
 
-_RANK = {w: i + 1 for i, w in enumerate(WORDS)}
-_LONGEST = max(map(len, WORDS))
+_LISTED = [w for w in pkgutil.get_data("tripmill.llm", "words.txt").decode("ascii").splitlines()
+           if not w.startswith("#")]
+_RANK = {w: i + 1 for i, w in enumerate(dict.fromkeys([*WORDS, *_LISTED]))}
+_LONGEST = max(map(len, _RANK))
 _NEXT = {(a, b) for walk in WALKS for line in (walk, walk[::-1]) for a, b in zip(line, line[1:])}
 #: log10 of the guesses of one character by its alphabet, and of beginning another segment.
 _ALPHABETS = ((str.isdigit, 1.0), (str.islower, 1.415), (str.isupper, 1.415))
