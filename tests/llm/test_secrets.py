@@ -100,3 +100,18 @@ def test_the_word_list_goes_to_the_workers(spark, monkeypatch):
     monkeypatch.setattr(type(spark.sparkContext), "addPyFile", lambda self, path: sent.append(path))
     common.send_package(spark)
     assert "tripmill/llm/words.txt" in zipfile.ZipFile(sent[0]).namelist()
+
+
+@pytest.mark.parametrize("value", ["*" * 120, "*" * 200, "*" * 5000, "x" * 200, "x" * 5000, "ab1" * 1700,
+                                   "qw" * 2500])
+def test_masks_of_any_length_are_guessable(value):
+    assert secrets.log10_guesses(value) < secrets.MIN_LOG10_GUESSES
+    assert not secrets.guessed_spans(f"Password: {value}", secrets.MIN_LOG10_GUESSES)
+
+
+def test_a_higher_bound_looks_at_longer_units():
+    unit = "x7Kq2!vBz9#Lm4Wt8@Rp5"
+    assert secrets.log10_guesses(unit * 100, 40) < 35
+    assert secrets.log10_guesses(unit * 100) >= secrets.MIN_LOG10_GUESSES
+    for value in ["a1a1a1a1", "zzzabab", "Xy7Xy7Xy7a", "abcabcab"]:
+        assert secrets.log10_guesses(value) == pytest.approx(all_segmentations(value))

@@ -13,9 +13,11 @@ as ``the password is incorrect`` holds no secret. A word that it lacks is put to
 entries and single letters, which is dearer; a long word without known parts still counts as a
 secret, which concerns other languages above all, as the list is English.
 
-The dynamic programme is linear in the value's length (no segment but a brute-force one is longer
-than ``MAX_SEGMENT``, and brute-force spans are made of single characters), so whole values of any
-length are judged. One row at a time is held.
+The dynamic programme goes from the end of the value to its start. Repeats and walks run to their end:
+a counter for each unit size says how far the value goes on repeating itself, and brute-force spans
+are made of single characters, so the work is linear in the value's length and whole values of any
+length are judged. A unit of n characters costs at least n, so units longer than the wanted least
+cannot change a verdict and are not looked at. One row at a time is held.
 
 Defined cases: a null text is empty; an empty text has no spans; repeated rows and null ids are
 scanned like any other row; other columns are passed by ``redact`` untouched and not read by
@@ -80,7 +82,6 @@ DATE = re.compile(r"(?:(?:19|20)\d\d([-/.]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|
 # --- parameters -------------------------------------------------------------------------------------
 MIN_LOG10_GUESSES = 10.0
 MIN_VALUE = 6
-MAX_SEGMENT = 40
 
 _LISTED = [w for w in pkgutil.get_data("tripmill.llm", "words.txt").decode("ascii").splitlines()
            if not w.startswith("#")]
@@ -100,8 +101,27 @@ def _character(c: str) -> float:
     return _OTHER
 
 
-def _segments(value: str, start: int) -> Iterator[tuple[int, float]]:
-    """Ends and log10 guesses of the cheap segments that begin at a position."""
+def _stretches(value: str, longest_unit: int) -> Iterator[tuple[int, int, list[int]]]:
+    """From the last position to the first: the position, the end of the walk that begins there, and
+    for each unit size how many characters from there on equal the one that much later. The list is
+    the same one each time."""
+    walk, same = len(value), [0] * (longest_unit + 1)
+    for start in range(len(value) - 1, -1, -1):
+        if start + 1 < len(value) and (value[start].lower(), value[start + 1].lower()) not in _NEXT:
+            walk = start + 1
+        for size in range(1, min(longest_unit, len(value) - 1 - start) + 1):
+            same[size] = same[size] + 1 if value[start] == value[start + size] else 0
+        yield start, walk, same
+
+
+def _segments(value: str, start: int, walk: int | None = None,
+              same: list[int] | None = None) -> Iterator[tuple[int, float]]:
+    """Ends and log10 guesses of the cheap segments that begin at a position; ``walk`` and ``same`` are
+    what ``_stretches`` says of it."""
+    if same is None:
+        for at, walk, same in _stretches(value, len(value) // 2):
+            if at == start:
+                break
     for size in range(3, min(_LONGEST, len(value) - start) + 1):
         part = value[start:start + size]
         lower = part.lower()
@@ -113,41 +133,29 @@ def _segments(value: str, start: int) -> Iterator[tuple[int, float]]:
     for found in {m.end() for m in [DATE.match(value, start), DATE.match(value, start, start + 4)]
                   if m}:
         yield found, 2.1 if found - start == 4 else 4.6
-    end = start + 1
-    last = min(len(value), start + MAX_SEGMENT)
-    while end < last and value[end] == value[start]:
-        end += 1
-    if end - start >= 3:
-        yield end, _character(value[start]) + math.log10(end - start)
-    end, turns = start + 1, 0
-    lower = value[start:last].lower()
-    while start + len(lower) > end and (lower[end - 1 - start], lower[end - start]) in _NEXT:
-        end += 1
-    if end - start >= 3:
-        yield end, 1.7 + math.log10(end - start) + turns
-    for size in range(2, min(MAX_SEGMENT // 2, (len(value) - start) // 2) + 1):
-        unit = value[start:start + size]
-        times = 1
-        while times * size < MAX_SEGMENT and value.startswith(unit, start + times * size):
-            times += 1
-        if times >= 2:
+    if walk - start >= 3:
+        yield walk, 1.7 + math.log10(walk - start)
+    for size in range(1, len(same)):
+        # A single character counts as a repeat from three times on.
+        if same[size] >= max(size, 2):
+            times = same[size] // size + 1
+            unit = value[start:start + size]
             yield start + size * times, sum(map(_character, unit)) + math.log10(times)
 
 
 @lru_cache(maxsize=20_000)
-def log10_guesses(value: str) -> float:
-    """Least log10 guesses over all segmentations of a value; 0 for an empty one."""
-    best = [0.0] + [math.inf] * len(value)
-    for start in range(len(value)):
-        here = best[start]
+def log10_guesses(value: str, enough: float = MIN_LOG10_GUESSES) -> float:
+    """Least log10 guesses over all segmentations of a value; 0 for an empty one. Exact below
+    ``enough``; otherwise at least that, without regard to repeats of longer units."""
+    best = [math.inf] * len(value) + [0.0]
+    longest_unit = min(len(value) // 2, max(2, math.ceil(enough)))
+    for start, walk, same in _stretches(value, longest_unit):
         # A brute-force span grows one character at a time, so any span is covered.
-        step = here + _character(value[start])
-        if step < best[start + 1]:
-            best[start + 1] = step
-        for end, cost in _segments(value, start):
-            if here + cost + _JOIN < best[end]:
-                best[end] = here + cost + _JOIN
-    return best[-1]
+        least = _character(value[start]) + best[start + 1]
+        for end, cost in _segments(value, start, walk, same):
+            least = min(least, cost + _JOIN + best[end])
+        best[start] = least
+    return best[0]
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -165,7 +173,7 @@ def guessed_spans(text: str, min_log10_guesses: float) -> set[tuple[int, int, in
     for context in CONTEXTS:
         for m in context.finditer(text):
             value = m.group(1).rstrip(".!?")
-            if len(value) >= MIN_VALUE and log10_guesses(value) >= min_log10_guesses:
+            if len(value) >= MIN_VALUE and log10_guesses(value, min_log10_guesses) >= min_log10_guesses:
                 found.add((m.start(1), 3, m.start(1) + len(value)))
     return found
 
