@@ -105,3 +105,37 @@ def test_results_duplicates_and_nulls(spark):
 def test_canonical_arguments(spark):
     row = linked(spark, [(1, 0, "a", "answer", '{ "z": [1, {"y":2,"x":3}], "a": "é\\n\\"" }')])[0]
     assert row["arguments"] == '{"a":"é\\n\\"","z":[1,{"x":3,"y":2}]}'
+
+
+def statuses(found):
+    return sorted((str(r["conv_id"]), str(r["turn"]), r["status"], str(r["result_turn"]),
+                   str(r["result"])) for r in as_dicts(found))
+
+
+def test_dialogues_without_conversation_or_turn(spark):
+    df = spark.createDataFrame(
+        [(None, 0, "user", "one"), (None, 1, "assistant", "answer one"),
+         (None, 2, "user", "one two three"), (None, 3, "assistant", "answer two"),
+         (5, None, "user", "lost"), (5, None, "assistant", "found"), (5, None, "assistant", "too")],
+        "conv_id long, turn long, role string, text string")
+    got = T.link_messages(T.as_tool_messages(df))
+    assert statuses(got) == sorted([
+        ("None", "0", "linked", "1", "answer one"), ("None", "2", "linked", "3", "answer two"),
+        ("5", "None", "malformed", "None", "None"),
+        ("5", "None", "orphan", "None", "found"), ("5", "None", "orphan", "None", "too")])
+    assert sorted(r["level"] for r in as_dicts(got) if r["level"] is not None) == [0, 1]
+
+
+def test_no_message_vanishes(spark):
+    call = json.dumps({"tool_calls": [{"id": "a", "name": "answer", "arguments": json.dumps(GOOD)}]})
+    df = spark.createDataFrame(
+        [(1, 0, "assistant", call), (1, 1, "tool", '{"tool_call_id":"a","content":"yes"}'),
+         (1, 2, "assistant", '{"tool_calls":[{"id":"b"'), (1, 3, "assistant", '{"tool_calls":"b"}'),
+         (1, 4, "assistant", '{"content":"no call"}'), (1, 5, "tool", "no json"),
+         (1, 6, "tool", '{"content":"no id"}'), (1, 7, "assistant", None), (1, 8, "tool", None)],
+        "conv_id long, turn long, role string, text string")
+    assert statuses(T.link_messages(df)) == sorted([
+        ("1", "0", "linked", "1", "yes"), ("1", "2", "malformed", "None", "None"),
+        ("1", "3", "malformed", "None", "None"), ("1", "7", "malformed", "None", "None"),
+        ("1", "None", "orphan", "5", "no json"), ("1", "None", "orphan", "6", "no id"),
+        ("1", "None", "orphan", "8", "None")])

@@ -40,8 +40,7 @@ def op3_distribution_divergence(spark, sf_dir):
 
 def op4_tool_call_linking(spark, sf_dir):
     messages = tool_calls.as_tool_messages(table(spark, sf_dir, "conversations"))
-    linked = tool_calls.link(tool_calls.calls_of(messages), tool_calls.results_of(messages))
-    return tool_calls.serialised(linked).drop("result", "arguments")
+    return tool_calls.serialised(tool_calls.link_messages(messages)).drop("result", "arguments")
 
 
 def op5_guess_cost(spark, sf_dir):

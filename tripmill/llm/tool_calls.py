@@ -18,6 +18,12 @@ result answers is ``unanswered``; a reference to no call is ``missing_reference`
 circle have no level and are ``circular``. Null conversation ids are one conversation; rows repeated in
 full are the same call and get the same row each; empty tables give an empty result; other columns are
 not read.
+
+Of messages (``link_messages``) none vanishes: an assistant message that is no JSON, or whose
+``tool_calls`` are no list of objects, is a ``malformed`` row; a JSON object without ``tool_calls`` has
+no call; each result without an id is an ``orphan`` row of its own, with the whole text as the result
+if it is no JSON. ``link`` itself takes results with an id only. A dialogue turn without a number has
+no place before or after others: its call is ``malformed``, its result an ``orphan``.
 """
 
 from __future__ import annotations
@@ -61,20 +67,28 @@ CALL = ("conv_id", "call_id")
 
 def calls_of(messages: DataFrame) -> DataFrame:
     """Calls in assistant messages of the form ``{"tool_calls": [{"id", "name", "arguments"}]}``."""
-    shape = "tool_calls array<struct<id string, name string, arguments string>>"
+    kind = "array<struct<id string, name string, arguments string>>"
+    value = F.try_parse_json("text")
+    # A list that cannot be read is one call of which nothing is known.
+    unread = value.isNull() | F.try_variant_get(value, "$.tool_calls", "variant").isNotNull()
     parsed = messages.where(F.col("role") == "assistant").select(
-        "conv_id", "turn", F.from_json("text", shape).alias("_m"))
-    return parsed.select("conv_id", "turn", F.explode("_m.tool_calls").alias("_c")).select(
+        "conv_id", "turn", F.from_json("text", f"tool_calls {kind}").alias("_m"),
+        unread.alias("_unread"))
+    calls = F.coalesce("_m.tool_calls", F.when(F.col("_unread"), F.array(F.lit(None))).cast(kind))
+    return parsed.select("conv_id", "turn", F.explode(calls).alias("_c")).select(
         "conv_id", "turn", F.col("_c.id").alias("call_id"), F.col("_c.name").alias("name"),
         F.col("_c.arguments").alias("arguments"))
 
 
 def results_of(messages: DataFrame) -> DataFrame:
-    """Results in tool messages of the form ``{"tool_call_id", "content"}``."""
+    """Results in tool messages of the form ``{"tool_call_id", "content"}``; a text that is no JSON is
+    all content."""
     parsed = messages.where(F.col("role") == "tool").select(
-        "conv_id", "turn", F.from_json("text", "tool_call_id string, content string").alias("_m"))
-    return parsed.select("conv_id", "turn", F.col("_m.tool_call_id").alias("call_id"),
-                         F.col("_m.content").alias("content"))
+        "conv_id", "turn", F.from_json("text", "tool_call_id string, content string").alias("_m"),
+        F.when(F.try_parse_json("text").isNull(), F.col("text")).alias("_text"))
+    whole = F.col("_text").isNotNull()
+    return parsed.select("conv_id", "turn", F.when(~whole, F.col("_m.tool_call_id")).alias("call_id"),
+                         F.when(whole, F.col("_text")).otherwise(F.col("_m.content")).alias("content"))
 
 
 def as_tool_messages(conversations: DataFrame) -> DataFrame:
@@ -87,8 +101,9 @@ def as_tool_messages(conversations: DataFrame) -> DataFrame:
     words = n_words(F.col("text"))
 
     def call_id(turn: Column) -> Column:
-        return F.concat(F.lit("call-"), F.col("conv_id").cast("string"), F.lit("-"),
-                        turn.cast("string"))
+        # Null conversation ids are one conversation, so its calls have ids as well.
+        return F.concat(F.lit("call-"), F.coalesce(F.col("conv_id").cast("string"), F.lit("null")),
+                        F.lit("-"), turn.cast("string"))
 
     turns = F.col("turn")
     earlier = F.when(turns >= 2, F.struct(call_id(turns - 2).alias("$result")))
@@ -247,12 +262,27 @@ def link(calls: DataFrame, results: DataFrame, schemas: Schemas = SCHEMAS) -> Da
         F.col("a.answer.turn").alias("result_turn"), F.col("a.answer.content").alias("result"),
         F.coalesce("a.n_results", F.lit(0)).alias("n_results"), status.alias("status"))
     orphans = answers.alias("a").join(firsts.alias("f"), same("a", "f"), "left_anti").select(
-        "a.conv_id", F.lit(None).cast("long").alias("turn"), "a.call_id",
+        "conv_id", "call_id", "answer", "n_results")
+    return linked.unionByName(_orphans(orphans))
+
+
+def _orphans(answers: DataFrame) -> DataFrame:
+    """Rows of results without a call (conv_id, call_id, answer, n_results)."""
+    return answers.select(
+        "conv_id", F.lit(None).cast("long").alias("turn"), "call_id",
         F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("arguments"),
         F.lit(None).cast("long").alias("level"), F.lit("").alias("errors"),
-        F.col("a.answer.turn").alias("result_turn"), F.col("a.answer.content").alias("result"),
-        "a.n_results", F.lit("orphan").alias("status"))
-    return linked.unionByName(orphans)
+        F.col("answer.turn").alias("result_turn"), F.col("answer.content").alias("result"),
+        "n_results", F.lit("orphan").alias("status"))
+
+
+def link_messages(messages: DataFrame, schemas: Schemas = SCHEMAS) -> DataFrame:
+    """The calls and results of messages linked; results without an id are rows as well."""
+    results = results_of(messages)
+    nameless = results.where(F.col("call_id").isNull()).select(
+        "conv_id", "call_id", F.struct("turn", "content").alias("answer"),
+        F.lit(1).cast("long").alias("n_results"))
+    return link(calls_of(messages), results, schemas).unionByName(_orphans(nameless))
 
 
 def serialised(linked: DataFrame) -> DataFrame:
