@@ -42,3 +42,14 @@ def test_defined_cases(spark):
     got = found(knn.top_k(df, F.col("vec_id") % 20 == 0, 4))
     assert got == top_k(table, lambda i: i % 20 == 0, 4)
     assert found(knn.top_k(df.limit(0), F.col("vec_id") % 20 == 0)) == []
+
+
+def test_the_driver_sends_only_cell_pairs(spark, monkeypatch):
+    table = [(i, [float(i % 7), float(i % 5)]) for i in range(400)]
+    df = spark.createDataFrame(table, "vec_id long, embedding array<double>")
+    sent, make = [], type(spark).createDataFrame
+    monkeypatch.setattr(type(spark), "createDataFrame",
+                        lambda self, data, *a, **k: (sent.append(len(data)), make(self, data, *a, **k))[1])
+    got = knn.top_k(df, F.col("vec_id") % 4 == 0, 3, max_pivots=2, block=4)
+    assert found(got) == top_k(table, lambda i: i % 4 == 0, 3)
+    assert sent and sum(sent) <= 2 * 2

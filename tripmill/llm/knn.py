@@ -191,25 +191,28 @@ def top_k(embeddings: DataFrame, is_query: Column, k: int = K, scale: int = SCAL
         held[cell] = count
     low, high = reach(pivots, far, [np.sort(np.array(x, dtype=float)) for x in near], k)
 
-    pairs = [(i, j, float(low[i, j]), float(high[i, j]), int(-(-held[j] // block)))
+    pairs = [(i, j, float(low[i, j]), float(high[i, j]), int(-(-held[j] // block)),
+              int(-(-asked[i] // block)))
              for i in range(len(pivots)) for j in range(len(pivots))
              if asked[i] and held[j] and high[i, j] > -np.inf]
-    # At most max_pivots squared rows, made of the summaries above.
-    ranges = spark.createDataFrame(pairs, "asking int, cell int, low double, high double, n int")
-    spread = F.pmod(F.xxhash64("vec_id"), F.col("n")).cast("int")
-    sent = data.join(F.broadcast(ranges), "cell").where(
+    # At most max_pivots squared rows, made of the summaries above; Spark makes the blocks of them.
+    ranges = F.broadcast(spark.createDataFrame(
+        pairs, "asking int, cell int, low double, high double, parts int, slices int"))
+
+    def each(n: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    def dealt(salt: list, n: str) -> Column:
+        return F.pmod(F.xxhash64("vec_id", *salt), F.col(n)).cast("int")
+
+    sent = data.join(ranges, "cell").where(
         (F.col("away") >= F.col("low")) & (F.col("away") <= F.col("high"))).select(
-        "asking", F.col("cell").alias("held_by"), spread.alias("part"), "vec_id", "vector")
-    blocks = spark.createDataFrame(
-        [(i, j, p, int(-(-asked[i] // block))) for i, j, _, _, parts in pairs
-         for p in range(parts)], "cell int, held_by int, part int, n int")
-    cut = F.pmod(F.xxhash64("vec_id", F.lit(1)), F.col("n")).cast("int")
-    asking = queries.join(blocks, "cell").select(
-        F.col("cell").alias("asking"), "held_by", "part", cut.alias("slice"), "vec_id", "vector")
-    slices = spark.createDataFrame(
-        [(i, s) for i in range(len(pivots)) if asked[i]
-         for s in range(int(-(-asked[i] // block)))], "asking int, slice int")
-    sent = sent.join(F.broadcast(slices), "asking")
+        "asking", F.col("cell").alias("held_by"), dealt([], "parts").alias("part"),
+        each("slices").alias("slice"), "vec_id", "vector")
+    asking = queries.withColumnRenamed("cell", "asking").join(
+        ranges.withColumnRenamed("cell", "held_by"), "asking").select(
+        "asking", "held_by", each("parts").alias("part"),
+        dealt([F.lit(1)], "slices").alias("slice"), "vec_id", "vector")
     unit = ("asking", "held_by", "part", "slice")
     local = asking.groupBy(*unit).cogroup(sent.groupBy(*unit)).applyInPandas(
         _solver(width, k), result)
