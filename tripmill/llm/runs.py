@@ -226,12 +226,10 @@ def planted(text: Column, doc_id: Column) -> Column:
     n = F.size(words).cast("long")
     h = F.crc32(doc_id.cast("string").cast("binary"))
     g = F.floor(h / 10).cast("long")
-    begin = g % n
+    begin = g % F.greatest(n, F.lit(1))
     period = F.lit(1) + F.floor((n - begin) / (F.lit(3) + g % 8)).cast("long")
-
-    def source(_, i):
-        i = i.cast("long")
-        return F.get(words, F.when(i >= begin, begin + (i - begin) % period).otherwise(i).cast("int"))
-
-    return F.when((h % 10 == 0) & (n > 0), F.array_join(F.transform(words, source), " ")) \
-        .otherwise(text)
+    one = F.slice(words, (begin + 1).cast("int"), period.cast("int"))
+    again = F.flatten(F.array_repeat(one, F.ceil((n - begin) / period).cast("int")))
+    made = F.slice(F.concat(F.slice(words, F.lit(1), begin.cast("int")), again), F.lit(1),
+                   n.cast("int"))
+    return F.when((h % 10 == 0) & (n > 0), F.array_join(made, " ")).otherwise(text)
