@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
-#: Rows an Arrow batch may hold: long texts arrive a few hundred at a time, not ten thousand.
-BATCH_ROWS = 512
+#: Bytes an Arrow batch may hold: long texts arrive a few hundred at a time, not ten thousand.
+BATCH_BYTES = 2 << 20
 
 
 _sent: set[str] = set()
@@ -33,14 +33,14 @@ def send_package(spark: SparkSession) -> None:
     _sent.add(context.applicationId)
 
 
-def for_python(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Ready the session for Python functions: the package is sent, and the rows that Spark hands over
-    at once are bounded; a smaller setting of the user stays."""
+def for_python(spark: SparkSession) -> None:
+    """Ready the session for Python functions: the package is sent, and the bytes that Spark hands over
+    at once are bounded; a smaller bound of the user stays. Short rows still go in large batches."""
     send_package(spark)
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    held = int(spark.conf.get(key))
-    if held <= 0 or held > rows:
-        spark.conf.set(key, str(rows))
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = int(spark.conf.get(key, None) or 0)
+    if held <= 0 or held > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
 
 
 def n_words(text: Column) -> Column:

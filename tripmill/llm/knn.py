@@ -44,7 +44,6 @@ K = 20
 MAX_PIVOTS = 256
 ROWS_PER_PIVOT = 4096
 BLOCK = 2048
-BATCH = 4096
 
 _ROUNDING = 1e-6
 
@@ -153,7 +152,7 @@ def top_k(embeddings: DataFrame, is_query: Column, k: int = K, scale: int = SCAL
     """The ``k`` other rows with the highest inner product for every row that ``is_query`` picks:
     query_id, rank, vec_id, score."""
     spark = embeddings.sparkSession
-    for_python(spark, BATCH)
+    for_python(spark)
     usable = embeddings.where(F.col("vec_id").isNotNull()).select(
         F.col("vec_id").cast("long").alias("vec_id"), is_query.alias("_asks"),
         whole(F.col("embedding"), scale).alias("vector")).where(F.col("vector").isNotNull())

@@ -89,7 +89,7 @@ def running_sum(df: DataFrame, order: Sequence[str], value: str, into: str) -> D
     the two passes when an executor is lost.
     """
     spark = df.sparkSession
-    for_python(spark, 10_000)
+    for_python(spark)
     schema = df.withColumns({into: F.lit(0).cast("long"), "_range": F.lit(0)}).schema
 
     def add_up(batches):
