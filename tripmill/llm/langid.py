@@ -62,22 +62,26 @@ def training_windows(docs: DataFrame, settings: Settings = Settings()) -> pd.Dat
     """The bounded sample: ``lang`` and ``part``, windows at seeded places of labelled texts."""
     labelled = docs.where(F.col("lang").isNotNull() & (F.length("text") > 0)
                           & ~held_out(F.col("doc_id")))
+    # At most as many rows as the sample come to the driver and go back: languages by their count.
+    counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(
+        F.col("n").desc(), "lang").limit(settings.max_rows).collect()
+    known = docs.sparkSession.createDataFrame([tuple(r) for r in counts], "lang string, _n long")
     # Hashes are even over 64 bits, so this bound lets about SPARE times the wanted rows of a language
-    # through, however many it has and in however many parts they lie.
+    # through, however many it has and in however many parts they lie. What goes on is cut to windows
+    # before it is shuffled, and equal rows are one.
     bound = F.lit(SPARE * settings.per_language) / F.col("_n") * 2.0 ** 64 - 2.0 ** 63
-    order = F.xxhash64(F.lit(settings.seed), "doc_id")
-    counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
-    few = labelled.join(counts, "lang").withColumn("_order", order).where(
+    few = labelled.select("doc_id", "lang", "text").join(F.broadcast(known), "lang").withColumn(
+        "_order", F.xxhash64(F.lit(settings.seed), "doc_id", "text")).where(
         F.col("_order").cast("double") <= bound)
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("_order", "doc_id"))
-    chosen = few.select("doc_id", "lang", "_order", F.transform(
+    cuts = few.select("doc_id", "lang", "_order", F.transform(
         F.sequence(F.lit(0), F.lit(settings.windows - 1)),
         lambda i: F.substring(F.col("text"), (F.lit(1) + F.pmod(
             F.xxhash64("doc_id", i), F.greatest(F.length("text") - settings.window // 2,
                                                 F.lit(1)))).cast("int"),
-            F.lit(settings.window))).alias("_parts")).withColumn("_rank", rank)
-    rows = (chosen.where(F.col("_rank") <= settings.per_language)
-            .orderBy("_rank", "_order", "doc_id").limit(settings.max_rows))
+            F.lit(settings.window))).alias("_parts")).distinct()
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("_order", "doc_id", "_parts"))
+    rows = (cuts.withColumn("_rank", rank).where(F.col("_rank") <= settings.per_language)
+            .orderBy("_rank", "_order", "doc_id", "_parts").limit(settings.max_rows))
     return rows.select("lang", F.explode("_parts").alias("part")).toPandas()
 
 
