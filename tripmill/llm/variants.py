@@ -238,14 +238,12 @@ def near_pairs(words: DataFrame) -> DataFrame:
             return pd.DataFrame({"word": [], "near": []}, dtype=object)
         exact = asks.groupby("word")["exact"].min().to_dict()
         pairs = near_in(shard["word"].unique().tolist(), exact, front)
-        return pd.DataFrame(pairs, columns=["word", "near"], dtype=object)
+        return pd.DataFrame(pairs + [(b, a) for a, b in pairs], columns=["word", "near"], dtype=object)
 
     shard = F.pmod(F.xxhash64("key"), F.lit(shards))
-    one_way = rows.withColumn("shard", shard).select(
+    return rows.withColumn("shard", shard).select(
         "front", "shard", "word", "asks", "exact").groupBy("front", "shard").applyInPandas(
-        search, "word string, near string")
-    return one_way.unionByName(one_way.select(
-        F.col("near").alias("word"), F.col("word").alias("near"))).distinct()
+        search, "word string, near string").distinct()
 
 
 # ---- forms and roots ---------------------------------------------------------------------------------
