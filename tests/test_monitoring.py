@@ -56,3 +56,29 @@ def test_bins_and_quality(spark):
     a, b = M.model_quality(df, F.col("g")).orderBy("g").collect()
     assert (a.n, a.rmse, a.mae, a.r2) == (2, pytest.approx(0.5 ** 0.5), 0.5, pytest.approx(0.5))
     assert (b.n, b.r2) == (1, None)
+
+
+def test_ranks_of_several_columns_together(spark):
+    rng = random.Random(5)
+    rows = [(rng.gauss(0, 3), float(rng.randint(0, 4)), None) for _ in range(500)]
+    df = spark.createDataFrame(rows, "a double, `b c` double, d double")
+    shares = [0.01, 0.25, 0.5, 0.999]
+    got = M.values_at_ranks(df, {"a": shares, "b c": shares, "d": [0.5]})
+    for name, place in (("a", 0), ("b c", 1)):
+        values = sorted(r[place] for r in rows)
+        assert got[name] == ([values[math.ceil(s * 500) - 1] for s in shares], 500)
+    assert got["d"] == ([None], 0)
+
+
+def test_jobs_do_not_grow_with_the_columns(spark):
+    df = spark.range(20_000).select(*[(F.rand(i) * 1000).alias(f"c{i}") for i in range(6)])
+
+    def jobs(columns):
+        group = f"outliers-{len(columns)}"
+        spark.sparkContext.setJobGroup(group, "")
+        M.outliers(df, columns)
+        spark.sparkContext.setJobGroup("other", "")
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    one, six = jobs(["c0"]), jobs([f"c{i}" for i in range(6)])
+    assert six <= one + 3

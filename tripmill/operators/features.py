@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.feature import (
-    OneHotEncoder, OneHotEncoderModel, SQLTransformer, VectorAssembler,
-)
+from pyspark.ml.feature import OneHotEncoder, OneHotEncoderModel, VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,7 +12,6 @@ from tripmill.functions import trips as tf
 
 ROUTE_INDEX = "route_index"
 FEATURES = "features_vector"
-TREE_COLUMNS = ("route_mean", "route_minutes", FEATURES)
 
 
 def with_route(df: DataFrame) -> DataFrame:
@@ -85,26 +82,21 @@ def vocabulary(fitted: FittedFeatures) -> DataFrame:
 
 def route_sums(train: DataFrame) -> DataFrame:
     """Trips and minutes per route; partial sums reach the shuffle, so a route with very many trips is
-    one row per task there."""
-    return train.groupBy("PU_DO").agg(F.count("duration").alias("trips"),
-                                      F.sum("duration").alias("minutes"))
+    one row per task there. Sums are exact, so they do not depend on the order of rows."""
+    return train.groupBy("PU_DO").agg(
+        F.count("duration").alias("trips"),
+        F.sum(F.col("duration").cast("decimal(20,10)")).cast("double").alias("minutes"))
 
 
 def smoothed_mean(minutes: Column, trips: Column, overall: float, smoothing: float) -> Column:
     """Mean duration, drawn towards the overall mean where there are few trips; null without weight.
 
-    Spark's trees store every row densely, so 70,000 one-hot columns would cost 280 kB per row. This
-    single column lets one split separate any routes that differ in mean.
+    The order of these means is the order in which the trees bundle the one-hot columns of routes.
     """
     weight = trips + F.lit(smoothing)
     return F.when(weight > 0, (minutes + F.lit(smoothing * overall)) / weight)
 
 
-def with_route_mean(df: DataFrame, means: DataFrame) -> DataFrame:
-    """Add the mean of the route, null for unseen ones; how to join is left to adaptive execution."""
-    return with_route(df).join(means.select("PU_DO", "route_mean"), "PU_DO", "left")
-
-
 def with_other_trips_mean(train: DataFrame, sums: DataFrame, overall: float,
                           smoothing: float) -> DataFrame:
     """Training rows with the mean of the other trips of their route, so that no row's own duration
@@ -112,13 +104,3 @@ def with_other_trips_mean(train: DataFrame, sums: DataFrame, overall: float,
     own = F.col("duration")
     return train.join(sums, "PU_DO", "left").withColumn("route_mean", smoothed_mean(
         F.col("minutes") - own, F.col("trips") - 1, overall, smoothing)).drop("trips", "minutes")
-
-
-def tree_stages(overall: float) -> list:
-    """Route mean and distance as the trees' input; an unseen route gets the overall mean."""
-    return [
-        SQLTransformer(statement=f"SELECT *, coalesce(route_mean, {overall!r}D) AS route_minutes "
-                                 "FROM __THIS__"),
-        VectorAssembler(inputCols=["route_minutes", "trip_distance"], outputCol=FEATURES,
-                        handleInvalid="keep"),
-    ]

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 FENCE = 1.5
 EMPTY_SHARE = 1e-6
 DRIFT_LIMIT = 0.2
-HISTOGRAM_BINS = 1024
+HISTOGRAM_BINS = 16_384
 
 
 def completeness(df: DataFrame) -> DataFrame:
@@ -33,40 +33,69 @@ def completeness(df: DataFrame) -> DataFrame:
         F.when(F.col("_rows") > 0, F.col("_e.present") / F.col("_rows")).alias("completeness"))
 
 
-def value_at_rank(df: DataFrame, column: str, share: float) -> tuple[float | None, int]:
-    """The value at rank ``ceil(share * n)`` of the non-null values, and n.
+def values_at_ranks(df: DataFrame, wanted: Mapping[str, Sequence[float]],
+                    ) -> dict[str, tuple[list[float | None], int]]:
+    """Per column the values at ranks ``ceil(share * n)`` of its non-null values, and n.
 
-    The range is cut into ``HISTOGRAM_BINS`` bins, and the bin that holds the rank is cut again until
-    it holds a single value. Each pass is one aggregate, of which at most that many rows come to the
-    driver, however many distinct values there are.
+    The range of a rank is cut into ``HISTOGRAM_BINS`` bins, and the bin that holds it is cut again
+    until it holds a single value. All ranks of all columns go together: each round is one aggregate
+    over one scan, and a row per rank comes to the driver.
     """
-    values = df.where(F.col(column).isNotNull() & ~F.isnan(column)).select(
-        F.col(column).cast("double").alias("v"))
-    n, low, high = values.agg(F.count("v"), F.min("v"), F.max("v")).first()
-    if not n:
-        return None, 0
-    rank = max(1, math.ceil(share * n))
-    while low < high:
-        width = (high - low) / HISTOGRAM_BINS or high - low
-        place = F.least(F.floor((F.col("v") - low) / width), F.lit(HISTOGRAM_BINS - 1))
-        inside = values.where((F.col("v") >= low) & (F.col("v") <= high))
-        bins = sorted(inside.groupBy(place.alias("bin")).agg(
-            F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).collect())
-        for row in bins:
-            if rank <= row["n"]:
-                low, high = row["low"], row["high"]
-                break
-            rank -= row["n"]
-    return low, n
+    spark = df.sparkSession
+    names = list(wanted)
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("column"), F.col(f"`{c}`").cast("double").alias("v"))
+        for i, c in enumerate(names)])).alias("_e")).select("_e.*").where(
+        F.col("v").isNotNull() & ~F.isnan("v"))
+    whole = {r["column"]: r for r in long.groupBy("column").agg(
+        F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).collect()}
+    # Per rank: column, place among the shares, bounds of the range that holds it, rank inside it.
+    ranks = [[i, k, whole[i]["low"], whole[i]["high"], max(1, math.ceil(share * whole[i]["n"]))]
+             for i, c in enumerate(names) if i in whole for k, share in enumerate(wanted[c])]
+    while True:
+        spans = {}
+        for i, _, low, high, _ in ranks:
+            if low < high:
+                spans.setdefault((i, low, high), len(spans))
+        if not spans:
+            break
+        table = F.broadcast(spark.createDataFrame(  # a row per rank at most
+            [(s, i, low, high, (high - low) / HISTOGRAM_BINS or high - low)
+             for (i, low, high), s in spans.items()],
+            "span int, column int, low double, high double, width double"))
+        asked = F.broadcast(spark.createDataFrame(
+            [(r, spans[(i, low, high)], rank)
+             for r, (i, _, low, high, rank) in enumerate(ranks) if low < high],
+            "place int, span int, rank long"))
+        inside = long.join(table, "column").where((F.col("v") >= F.col("low"))
+                                                  & (F.col("v") <= F.col("high")))
+        bin_ = F.least(F.floor((F.col("v") - F.col("low")) / F.col("width")),
+                       F.lit(HISTOGRAM_BINS - 1))
+        counts = inside.groupBy("span", bin_.alias("bin")).agg(
+            F.count("v").alias("n"), F.min("v").alias("from"), F.max("v").alias("to"))
+        upto = F.sum("n").over(Window.partitionBy("span").orderBy("bin"))  # rows: bins of a span
+        found = counts.withColumn("upto", upto).join(asked, "span").where(
+            (F.col("rank") <= F.col("upto")) & (F.col("rank") > F.col("upto") - F.col("n")))
+        for r in found.select("place", "from", "to", "rank", "upto", "n").collect():
+            ranks[r["place"]][2:] = [r["from"], r["to"], r["rank"] - (r["upto"] - r["n"])]
+    out = {c: ([None] * len(wanted[c]), whole[i]["n"] if i in whole else 0)
+           for i, c in enumerate(names)}
+    for i, k, low, _, _ in ranks:
+        out[names[i]][0][k] = low
+    return out
+
+
+def value_at_rank(df: DataFrame, column: str, share: float) -> tuple[float | None, int]:
+    """The value at rank ``ceil(share * n)`` of the non-null values, and n."""
+    (value,), n = values_at_ranks(df, {column: [share]})[column]
+    return value, n
 
 
 def outliers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Per column its quartiles, fence and how many values lie beyond it."""
     spark = df.sparkSession
-    fences = {}
-    for column in columns:
-        (q1, n), (q3, _) = value_at_rank(df, column, 0.25), value_at_rank(df, column, 0.75)
-        fences[column] = (q1, q3, n)
+    found = values_at_ranks(df, {c: (0.25, 0.75) for c in columns})
+    fences = {c: (q1, q3, n) for c, ((q1, q3), n) in found.items()}
     beyond = [F.count_if((F.col(c) < q1 - FENCE * (q3 - q1)) | (F.col(c) > q3 + FENCE * (q3 - q1)))
               if n else F.lit(0).cast("bigint") for c, (q1, q3, n) in fences.items()]
     counts = df.agg(*[b.alias(c) for b, c in zip(beyond, columns)]).first()

@@ -43,11 +43,12 @@ def prepare_month(trips: DataFrame, root: str, year: int, month: int) -> None:
 def train_and_record(spark: SparkSession, train: DataFrame, validation: DataFrame,
                      model_path: str, runs_path: str,
                      params: TrainingParams = TrainingParams()) -> Trained:
-    """Train on clean trips, measure on validation trips, store model and run.
+    """Train on clean trips, with the validation trips to stop by and to measure on; store model and
+    run.
 
     Whether the error is good enough is a separate step (``metrics.require_rmse``).
     """
-    fitted = duration_model.train_duration_model(train, model_path, params)
+    fitted = duration_model.train_with_validation(train, validation, model_path, params)
     scored = duration_model.predict(validation, fitted)
     error = metrics.rmse(scored).first()["rmse"]
     run_id = duration_model.record_run(spark, runs_path, params, {"rmse": error})

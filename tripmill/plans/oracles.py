@@ -413,8 +413,13 @@ vocabulary AS (
 SELECT feature_index, 'PU_DO=' || PU_DO AS feature FROM vocabulary
 UNION ALL SELECT count(*), 'trip_distance' FROM vocabulary""")
     sql["transform_features"] = _with(vocabulary, f"""
-SELECT trip_id, PU_DO, feature_index AS route_index, trip_distance
-FROM clean LEFT JOIN vocabulary USING (PU_DO) WHERE {_SPLIT.format('>=')}""")
+SELECT trip_id, PU_DO, feature_index AS route_index, CAST(n + 1 AS INTEGER) AS vector_size,
+  CASE WHEN feature_index IS NULL THEN 1 ELSE 2 END AS n_set,
+  CAST(coalesce(feature_index, n) AS INTEGER) AS first_index,
+  CASE WHEN feature_index IS NULL THEN trip_distance ELSE 1 END AS first_value,
+  CAST(n AS INTEGER) AS last_index, trip_distance AS last_value
+FROM clean LEFT JOIN vocabulary USING (PU_DO), (SELECT count(*) AS n FROM vocabulary)
+WHERE {_SPLIT.format('>=')}""")
     sql["default_prediction"] = _with(REQUESTS, """
 SELECT ride_id, sequence_number, CAST(15 AS DOUBLE) AS predicted_duration, true AS is_default
 FROM requests WHERE reason IS NULL""")
@@ -430,9 +435,6 @@ rounds AS (SELECT CAST(unnest(range({S.BOOSTING_ROUNDS})) AS INTEGER) AS round)"
 SELECT round, CAST(CASE WHEN round = 0 THEN 1 ELSE {round(S.LEARNING_RATE, 6)} END AS DOUBLE)
   AS weight, round(baseline_rmse, 4) AS baseline_rmse, true AS beats_baseline
 FROM rounds, baseline""")
-    sql["train_with_validation"] = _with(split, """
-SELECT round, false AS out_of_patience, true AS best_is_the_minimum, true AS not_below_the_best
-FROM rounds""")
     sql["batch_score"] = _with(split, """
 SELECT n, round(baseline_rmse, 4) AS baseline_rmse, true AS beats_baseline, true AS passed
 FROM baseline""")

@@ -34,8 +34,7 @@ BATCH_ROWS = 100
 LOOKUP_DAY = (2024, 1, 15)
 LOOKUP_TEXT = "r4"
 REPORT_TIME, REPORT_HOURS = datetime(2024, 1, 20, 6, 0, 0), 30
-# The library's own depth and rounds; the parts fit the eight cores of the checks.
-PARAMS = model.TrainingParams(partitions=8)
+PARAMS = model.TrainingParams()
 DRIFT_FROM = date(1999, 1, 1)
 DRIFT_EDGES = {"trip_distance": (0.0, 20.0, 10), "duration": (0.0, 60.0, 12),
                "total_amount": (0.0, 100.0, 10)}
@@ -460,8 +459,14 @@ def fit_features(spark, sf_dir):
 
 def transform_features(spark, sf_dir):
     _, validation_rows = _split(spark, sf_dir)
-    return features.transform_features(validation_rows, _fitted(spark, sf_dir)).select(
-        "trip_id", "PU_DO", features.ROUTE_INDEX, "trip_distance")
+    made = features.transform_features(validation_rows, _fitted(spark, sf_dir))
+    vector = F.unwrap_udt(features.FEATURES)
+    return made.select("trip_id", "PU_DO", features.ROUTE_INDEX, vector.alias("v")).select(
+        "trip_id", "PU_DO", features.ROUTE_INDEX, F.col("v.size").alias("vector_size"),
+        F.size("v.indices").alias("n_set"), F.get("v.indices", F.lit(0)).alias("first_index"),
+        F.get("v.values", F.lit(0)).alias("first_value"),
+        F.element_at("v.indices", -1).alias("last_index"),
+        F.element_at("v.values", -1).alias("last_value"))
 
 
 def trained(spark, sf_dir):
@@ -496,13 +501,9 @@ def train_duration_model(spark, sf_dir):
 
 
 def train_with_validation(spark, sf_dir):
-    """The validation error of every round, compared with the least of all."""
-    rounds = model.validation_rounds(_split(spark, sf_dir)[1], trained(spark, sf_dir)[2].model)
-    best = rounds.agg(F.min("rmse").alias("least"), F.max_by("best_round", "round").alias("last"),
-                      F.min_by("round", "rmse").alias("at")).first()
-    return rounds.select(
-        "round", "out_of_patience", F.lit(best["last"] == best["at"]).alias("best_is_the_minimum"),
-        (F.col("rmse") >= best["least"]).alias("not_below_the_best"))
+    """The validation error of every round as measured while training, and the best round by then."""
+    return model.training_errors(trained(spark, sf_dir)[2].model).select(
+        "round", F.round("rmse", 6).alias("rmse"), "best_round", "out_of_patience")
 
 
 def batch_score(spark, sf_dir):

@@ -58,6 +58,19 @@ TRAINING_RUN = "run_id STRING, params MAP<STRING,STRING>, metrics MAP<STRING,DOU
 
 LANDED_ENVELOPE = "trip_id STRING, event_id STRING, payload STRING, error STRING, valid BOOLEAN"
 
-ROUTE_MEANS = "PU_DO STRING, route_mean DOUBLE"
+ROUTE_MEANS = "PU_DO STRING, route_mean DOUBLE, route_bin INT"
 
 ROUTE_SUMS = "PU_DO STRING, trips BIGINT, minutes DOUBLE"
+
+CELLS = "cell INT, trips BIGINT, minutes DOUBLE, squares DOUBLE"
+
+MODEL_HEADER = (
+    "overall DOUBLE, route_edges ARRAY<DOUBLE>, distance_edges ARRAY<DOUBLE>, "
+    "params MAP<STRING,STRING>, patience INT"
+)
+
+ROUNDS = (
+    "round INT, weight DOUBLE, depth INT, nodes INT, features ARRAY<INT>, bins ARRAY<INT>, "
+    "lefts ARRAY<INT>, rights ARRAY<INT>, leaf_values ARRAY<DOUBLE>, leaf_rows ARRAY<DOUBLE>, "
+    "margins ARRAY<DOUBLE>, train_rmse DOUBLE, validation_rmse DOUBLE"
+)

@@ -44,8 +44,9 @@ TREE_DEPTH = 30
 LEARNING_RATE = 0.09585355369315604
 MODEL_SEED = 42
 RMSE_LIMIT = 10.0
-# A minimum child weight of 1.06 with squared error (every row weighs 1) asks for two rows per leaf.
-MIN_ROWS_PER_LEAF = 2
+CHILD_WEIGHT = 1.060597050922164   # with squared error every row weighs 1
+L1 = 0.018060244040060163
+L2 = 0.011658731377413597
 
 # Training would end after so many rounds without a lower validation error.
 PATIENCE_ROUNDS = 50
