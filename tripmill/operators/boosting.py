@@ -6,7 +6,7 @@ trees are the same as those grown on the rows. The grid has a fixed size whateve
 
 A split gains ``score(left) + score(right) - score(parent)`` with ``score = soft(G) ** 2 / (H + l2)``,
 where G and H are the sums of gradients and rows and ``soft`` draws G towards zero by ``l1``. A leaf's
-value is ``-soft(G) / (H + l2)``. Of equal splits the first feature's lowest bin is taken.
+value is ``-soft(G) / (H + l2)``. Of equal splits the first feature's lowest gap is taken, in its middle.
 """
 
 from __future__ import annotations
@@ -82,8 +82,12 @@ def grow(gradient: np.ndarray, rows: np.ndarray, depth: int, child_weight: float
             gain = (score(left_g, left_h, l1, l2) + score(right_g, right_h, l1, l2)
                     - score(*sums, l1, l2)[:, None])
             gain[(left_h < child_weight) | (right_h < child_weight)] = 0.0
-            at = gain.argmax(axis=1)
-            most = gain[np.arange(len(active)), at]
+            first = gain.argmax(axis=1)
+            most = gain[np.arange(len(active)), first]
+            # Bins without rows split alike: the middle of such a gap.
+            alike = (gain == most[:, None]) | (np.arange(bins) < first[:, None])
+            last = np.where(alike.all(axis=1), bins, alike.argmin(axis=1)) - 1
+            at = (first + last) // 2
             better = most > best_gain * (1 + 1e-9) + 1e-9
             best[better] = np.column_stack([np.full(len(active), feature), at])[better]
             best_gain = np.where(better, most, best_gain)

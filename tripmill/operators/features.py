@@ -81,11 +81,12 @@ def vocabulary(fitted: FittedFeatures) -> DataFrame:
 
 
 def route_sums(train: DataFrame) -> DataFrame:
-    """Trips and minutes per route; partial sums reach the shuffle, so a route with very many trips is
+    """Trips, minutes and their range per route; partial sums reach the shuffle, so a route with very many trips is
     one row per task there. Sums are exact, so they do not depend on the order of rows."""
     return train.groupBy("PU_DO").agg(
         F.count("duration").alias("trips"),
-        F.sum(F.col("duration").cast("decimal(20,10)")).cast("double").alias("minutes"))
+        F.sum(F.col("duration").cast("decimal(20,10)")).cast("double").alias("minutes"),
+        F.min("duration").alias("low"), F.max("duration").alias("high"))
 
 
 def smoothed_mean(minutes: Column, trips: Column, overall: float, smoothing: float) -> Column:
@@ -102,5 +103,5 @@ def with_other_trips_mean(train: DataFrame, sums: DataFrame, overall: float,
     """Training rows with the mean of the other trips of their route, so that no row's own duration
     is part of its feature."""
     own = F.col("duration")
-    return train.join(sums, "PU_DO", "left").withColumn("route_mean", smoothed_mean(
+    return train.join(sums.select("PU_DO", "trips", "minutes"), "PU_DO", "left").withColumn("route_mean", smoothed_mean(
         F.col("minutes") - own, F.col("trips") - 1, overall, smoothing)).drop("trips", "minutes")

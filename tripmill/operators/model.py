@@ -61,6 +61,8 @@ class DurationModel:
     rounds: DataFrame
     params: TrainingParams
     overall: float
+    low: float
+    high: float
     route_edges: Sequence[float]
     distance_edges: Sequence[float]
     path: str
@@ -131,8 +133,9 @@ def prepare_training(train: DataFrame, path: str, params: TrainingParams = Train
     train = train.select("PU_DO", "trip_distance", "duration")
     route_sums(train).write.mode("overwrite").parquet(f"{path}/{SUMS}")
     sums = spark.read.schema(schemas.ROUTE_SUMS).parquet(f"{path}/{SUMS}")
-    overall = sums.agg(F.sum(F.col("minutes").cast("decimal(30,10)")).cast("double")
-                       / F.sum("trips")).first()[0]
+    overall, low, high = sums.agg(
+        F.sum(F.col("minutes").cast("decimal(30,10)")).cast("double") / F.sum("trips"),
+        F.min("low"), F.max("high")).first()
     if overall is None:
         raise ValueError("there are no training rows")
     rows = with_other_trips_mean(train, sums, overall, params.smoothing)
@@ -144,7 +147,7 @@ def prepare_training(train: DataFrame, path: str, params: TrainingParams = Train
     sums.select("PU_DO", mean.alias("route_mean")).withColumn(
         "route_bin", binned(F.col("route_mean"), route_edges, missing)).write.mode(
         "overwrite").parquet(f"{path}/{MEANS}")
-    header = (overall, route_edges, distance_edges, {k: repr(v) for k, v in asdict(params).items()},
+    header = (overall, low, high, route_edges, distance_edges, {k: repr(v) for k, v in asdict(params).items()},
               patience)
     spark.createDataFrame([header], schemas.MODEL_HEADER).coalesce(1).write.mode(
         "overwrite").parquet(f"{path}/{HEADER}")
@@ -193,10 +196,11 @@ def continue_training(spark: SparkSession, path: str, at_most: int | None = None
         tree, values = boosting.grow(trips * margins - minutes, trips, params.depth,
                                      params.child_weight, params.l1, params.l2)
         margins = margins + params.weight(round_) * values
-        errors.append(boosting.squared_error(*checked, margins) ** 0.5 if checked[0].any() else None)
+        served = margins.clip(model.low, model.high)
+        errors.append(boosting.squared_error(*checked, served) ** 0.5 if checked[0].any() else None)
         row = (round_, params.weight(round_), tree.depth, len(tree.features), tree.features, tree.bins,
                tree.lefts, tree.rights, tree.values, tree.rows, margins.ravel().tolist(),
-               boosting.squared_error(trips, minutes, squares, margins) ** 0.5, errors[-1])
+               boosting.squared_error(trips, minutes, squares, served) ** 0.5, errors[-1])
         spark.createDataFrame([row], schemas.ROUNDS).coalesce(1).write.mode("append").parquet(
             f"{path}/{ROUNDS}")
     return load_model(spark, path)
@@ -251,7 +255,7 @@ def validation_rounds(validation: DataFrame, model: DurationModel,
     then ``patience`` rounds have gone by without a lower one. One scan for all rounds."""
     cells = cell_sums(with_cell(validation, model))
     margins = model.rounds.select("round", F.posexplode("margins").alias("cell", "margin"))
-    m, n = F.col("margin"), F.sum("trips")
+    m, n = in_range(F.col("margin"), model), F.sum("trips")
     squared = F.sum(F.col("squares") - 2 * m * F.col("minutes") + F.col("trips") * m * m)
     errors = margins.join(cells, "cell").groupBy("round").agg(
         F.sqrt(F.greatest(squared / n, F.lit(0.0))).alias("rmse")).orderBy("round").collect()
@@ -260,12 +264,18 @@ def validation_rounds(validation: DataFrame, model: DurationModel,
 
 # ---- scoring -----------------------------------------------------------------------------------------
 
+def in_range(margin: Column, model: DurationModel) -> Column:
+    """Margins within the labels trained on: where there were no rows, corrections can add up."""
+    return F.least(F.greatest(margin, F.lit(model.low)), F.lit(model.high))
+
+
 def predict(requests: DataFrame, model: DurationModel, rounds: int | None = None) -> DataFrame:
     """Requests with a ``prediction`` by all trees or the first ``rounds``; routes are derived as in
     training. The margins, a row per cell, go to every task."""
     chosen = model.rounds if rounds is None else model.rounds.where(F.col("round") < rounds)
     last = chosen.agg(F.max_by("margins", "round").alias("margins"))
-    grid = last.select(F.posexplode("margins").alias("_cell", "prediction"))
+    grid = last.select(F.posexplode("margins").alias("_cell", "margin")).select(
+        "_cell", in_range(F.col("margin"), model).alias("prediction"))
     return with_cell(requests, model).join(F.broadcast(grid), "_cell", "left").drop("_cell")
 
 
@@ -296,7 +306,8 @@ def load_model(spark: SparkSession, path: str) -> DurationModel:
     params = TrainingParams(**{k: kinds[k](v) for k, v in header["params"].items()})
     return DurationModel(
         read_means(spark, path), spark.read.schema(schemas.ROUNDS).parquet(f"{path}/{ROUNDS}"), params,
-        header["overall"], header["route_edges"], header["distance_edges"], path)
+        header["overall"], header["low"], header["high"], header["route_edges"],
+        header["distance_edges"], path)
 
 
 def record_run(spark: SparkSession, root: str, params: TrainingParams,

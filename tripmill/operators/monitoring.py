@@ -152,3 +152,60 @@ def model_quality(scored: DataFrame, *groups: Column, label: str = "duration",
         F.count(F.lit(1)).alias("n"), F.sqrt(F.avg(error * error)).alias("rmse"),
         F.avg(F.abs(error)).alias("mae"),
         F.when(spread > 0, F.lit(1.0) - squares / spread).alias("r2"))
+
+
+# ---- predictions against what came out ---------------------------------------------------------------
+
+MATCHED, LATE, MISSING, PENDING = "matched", "late", "missing", "pending"
+
+
+def seconds(n: int) -> Column:
+    """A fixed span, as a literal that a stream's state can be bounded by."""
+    return F.expr(f"INTERVAL '{int(n)}' SECOND")
+
+
+def in_time(within_seconds: int) -> Column:
+    """Whether an actual of ``a`` came in the time that a prediction of ``p`` waits for it."""
+    return (F.col("p.ride_id") == F.col("a.ride_id")) & (
+        F.col("a.actual_ts") >= F.col("p.predicted_ts")) & (
+        F.col("a.actual_ts") <= F.col("p.predicted_ts") + seconds(within_seconds))
+
+
+def first_actuals(actuals: DataFrame) -> DataFrame:
+    """One actual per ride, the earliest; repeated ones are combined before the shuffle."""
+    return actuals.where(F.col("ride_id").isNotNull()).groupBy("ride_id").agg(
+        F.min(F.struct("actual_ts", "duration")).alias("_a")).select("ride_id", "_a.*")
+
+
+def match_actuals(predictions: DataFrame, actuals: DataFrame, within_seconds: int,
+                  watermark: Column | None = None) -> DataFrame:
+    """Predictions (ride_id, predicted_ts, prediction) with the ``duration`` that came out and an
+    ``outcome``: matched within the time; late, if the actual came after it; missing, if none came.
+
+    With a ``watermark`` a prediction without an actual whose time has not run out by then is pending.
+    Durations of late ones are left out, as a job that runs all the time would not see them.
+    """
+    found = predictions.alias("p").join(first_actuals(actuals).alias("a"),
+                                        F.col("p.ride_id") == F.col("a.ride_id"), "left")
+    matched = F.coalesce(in_time(within_seconds), F.lit(False))
+    ends = F.col("p.predicted_ts") + seconds(within_seconds)
+    open_ = F.lit(False) if watermark is None else F.coalesce(ends >= watermark, F.lit(True))
+    outcome = F.when(matched, MATCHED).when(open_, PENDING).when(
+        F.col("a.ride_id").isNotNull(), LATE).otherwise(MISSING)
+    return found.select(
+        "p.*", F.when(matched, F.col("a.actual_ts")).alias("actual_ts"),
+        F.when(matched, F.col("a.duration")).alias("duration"), outcome.alias("outcome"))
+
+
+def quality_over_time(matched: DataFrame, *groups: Column) -> DataFrame:
+    """Per group the predictions by outcome, and the error over the matched ones."""
+    error = F.col("duration") - F.col("prediction")
+    spread = F.var_pop("duration") * F.count("duration")
+    rated = F.when(F.col("outcome") == MATCHED, error)
+    squares = F.sum(rated * rated)
+    return matched.groupBy(*groups).agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.count_if(F.col("outcome") == o).alias(f"n_{o}")
+          for o in (MATCHED, LATE, MISSING, PENDING)],
+        F.sqrt(F.avg(rated * rated)).alias("rmse"), F.avg(F.abs(rated)).alias("mae"),
+        F.when(spread > 0, F.lit(1.0) - squares / spread).alias("r2"))

@@ -488,15 +488,44 @@ shares AS (
 drift AS (SELECT feature, sum((a - e) * ln(a / e)) AS psi FROM shares GROUP BY feature)"""
     sql["feature_drift"] = _with(drift, "SELECT feature, round(psi, 6) AS psi FROM drift")
     sql["drift_alert"] = _with(drift, "SELECT feature, psi > 0.2 AS alert FROM drift")
-    sql["model_quality"] = _with(CLEAN + """,
-scored AS (
-  SELECT CAST(year(tpep_pickup_datetime) AS INTEGER) AS year, duration,
-    duration - trip_distance / CAST(0.4 AS DOUBLE) AS error FROM clean)""", """
-SELECT year, count(*) AS n, round(sqrt(avg(error * error)), 4) AS rmse,
-  round(avg(abs(error)), 4) AS mae,
-  round(CASE WHEN var_pop(duration) > 0
-        THEN 1 - sum(error * error) / (var_pop(duration) * count(*)) END, 4) AS r2
-FROM scored GROUP BY year""")
+    rated = CLEAN + f""",
+asked AS (
+  SELECT trip_id, tpep_pickup_datetime AS asked_at,
+    CASE WHEN PULocationID = DOLocationID THEN 15 ELSE trip_distance / CAST(0.4 AS DOUBLE) END
+      AS prediction FROM clean),
+told AS (
+  SELECT trip_id, duration, tpep_dropoff_datetime AS ended,
+    (CAST(PULocationID AS INTEGER) + CAST(DOLocationID AS INTEGER)) % 10 AS kind FROM clean),
+actuals AS (
+  SELECT trip_id, duration, ended + to_minutes(CASE WHEN kind = 1 THEN {R.LATE_MINUTES}
+    ELSE kind END) AS came_at FROM told WHERE kind > 0),
+earliest AS (
+  SELECT * FROM actuals
+  QUALIFY row_number() OVER (PARTITION BY trip_id ORDER BY came_at, duration) = 1),
+came AS (SELECT * FROM asked LEFT JOIN earliest USING (trip_id)),
+closed AS (
+  SELECT least((SELECT max(asked_at) FROM asked), (SELECT max(came_at) FROM actuals))
+    - INTERVAL '{R.ACTUAL_DELAY}' AS closed_at),
+judged AS (
+  SELECT *, CASE WHEN came_at >= asked_at AND came_at <= asked_at + to_seconds({R.ACTUAL_WITHIN})
+    THEN 'matched'
+    WHEN pending AND asked_at + to_seconds({R.ACTUAL_WITHIN}) >= closed_at THEN 'pending'
+    WHEN came_at IS NOT NULL THEN 'late' ELSE 'missing' END AS outcome
+  FROM came, closed, (SELECT {{}} AS pending)),
+errors AS (
+  SELECT *, CASE WHEN outcome = 'matched' THEN duration END AS y,
+    CASE WHEN outcome = 'matched' THEN duration - prediction END AS error FROM judged)"""
+    rates = """
+SELECT CAST(year(asked_at) AS INTEGER) AS year, count(*) AS n,
+  count(*) FILTER (WHERE outcome = 'matched') AS n_matched,
+  count(*) FILTER (WHERE outcome = 'late') AS n_late,
+  count(*) FILTER (WHERE outcome = 'missing') AS n_missing,
+  count(*) FILTER (WHERE outcome = 'pending') AS n_pending,
+  round(sqrt(avg(error * error)), 4) AS rmse, round(avg(abs(error)), 4) AS mae,
+  round(CASE WHEN var_pop(y) > 0 THEN 1 - sum(error * error) / (var_pop(y) * count(y)) END, 4) AS r2
+FROM errors GROUP BY 1"""
+    sql["model_quality"] = _with(rated.format("false"), rates)
+    sql["stream_model_quality"] = _with(rated.format("true"), rates)
 
     # ---- streams
     sql["stream_score"] = _with(ENTRIES, """

@@ -19,6 +19,7 @@ from tripmill.session import fresh_folder, prepare
 from tripmill.sinks import tables as sinks
 from tripmill.sources import documents, fixtures, records
 from tripmill.sources import trips as trip_source
+from tripmill.streaming import quality as quality_streams
 from tripmill.streaming import rides as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +41,8 @@ DRIFT_EDGES = {"trip_distance": (0.0, 20.0, 10), "duration": (0.0, 60.0, 12),
                "total_amount": (0.0, 100.0, 10)}
 FENCED = ("trip_distance", "duration", "total_amount")
 PLAUSIBLE_MINUTES = (0.0, 120.0)
+# Seconds that a prediction waits for its trip, how late rows may come, and how late some are told.
+ACTUAL_WITHIN, ACTUAL_DELAY, LATE_MINUTES = 7200, "6 hours", 3 * 24 * 60
 
 _made: dict[tuple, object] = {}
 
@@ -572,11 +575,50 @@ def drift_alert(spark, sf_dir):
     return monitoring.drift_alert(_drift(spark, sf_dir)).select("feature", "alert")
 
 
+def _predictions(spark, sf_dir):
+    """Clean trips as predicted when they begin; rides within a zone get the default."""
+    scored = model.with_default(_rate(_clean(spark, sf_dir)))
+    return scored.select(F.col("trip_id").alias("ride_id"),
+                         F.col(cleaning.PICKUP).cast("timestamp").alias("predicted_ts"),
+                         F.col("predicted_duration").alias("prediction"))
+
+
+def _actuals(spark, sf_dir):
+    """The same trips as they are told after their end: a tenth never, a tenth days later."""
+    kind = (F.col("PULocationID").cast("int") + F.col("DOLocationID").cast("int")) % 10
+    minutes = F.when(kind == 1, LATE_MINUTES).otherwise(kind)
+    return _clean(spark, sf_dir).where(kind != 0).select(
+        F.col("trip_id").alias("ride_id"),
+        (F.col(cleaning.DROPOFF).cast("timestamp") + F.make_dt_interval(mins=minutes)).alias("actual_ts"),
+        "duration")
+
+
+def _quality(outcomes: DataFrame) -> DataFrame:
+    quality = monitoring.quality_over_time(outcomes, F.year("predicted_ts").alias("year"))
+    return quality.select("year", "n", "n_matched", "n_late", "n_missing", "n_pending",
+                          *[F.round(c, 4).alias(c) for c in ("rmse", "mae", "r2")])
+
+
 def model_quality(spark, sf_dir):
-    evaluated = _clean(spark, sf_dir).select(
-        cleaning.PICKUP, "duration", (F.col("trip_distance") / F.lit(0.4)).alias("prediction"))
-    quality = monitoring.model_quality(evaluated, F.year(cleaning.PICKUP).alias("year"))
-    return quality.select("year", "n", *[F.round(c, 4).alias(c) for c in ("rmse", "mae", "r2")])
+    """Predictions of each year against the trips that came out, by when they came."""
+    return _quality(monitoring.match_actuals(
+        _predictions(spark, sf_dir), _actuals(spark, sf_dir), ACTUAL_WITHIN))
+
+
+def stream_model_quality(spark, sf_dir):
+    """The same from two streams, which leave the last hours open."""
+    landed = {}
+    for name, rows in (("asked", _predictions(spark, sf_dir)), ("came", _actuals(spark, sf_dir))):
+        landed[name] = fresh_folder(spark, name)
+        rows.write.parquet(landed[name])
+    out = fresh_folder(spark, "rated")
+    streams.finish(quality_streams.stream_match(
+        quality_streams.stream_of(spark, landed["asked"], schemas.PREDICTION),
+        quality_streams.stream_of(spark, landed["came"], schemas.ACTUAL),
+        ACTUAL_WITHIN, ACTUAL_DELAY, out, fresh_folder(spark, "progress")))
+    return _quality(quality_streams.stream_outcomes(
+        spark, spark.read.schema(schemas.PREDICTION).parquet(landed["asked"]),
+        spark.read.schema(schemas.ACTUAL).parquet(landed["came"]), out))
 
 
 def envelope_ids_unique(spark, sf_dir):
@@ -640,7 +682,7 @@ REGISTERED = (
     fit_features, transform_features, train_duration_model, train_with_validation, batch_score,
     score_or_default, default_prediction, model_store, training_runs,
     stream_score, stream_write_predictions, stream_quarantine, stream_ingest_validated,
-    completeness, outliers, feature_drift, drift_alert, model_quality, envelope_ids_unique,
+    completeness, outliers, feature_drift, drift_alert, model_quality, stream_model_quality, envelope_ids_unique,
 )
 
 

@@ -60,12 +60,12 @@ LANDED_ENVELOPE = "trip_id STRING, event_id STRING, payload STRING, error STRING
 
 ROUTE_MEANS = "PU_DO STRING, route_mean DOUBLE, route_bin INT"
 
-ROUTE_SUMS = "PU_DO STRING, trips BIGINT, minutes DOUBLE"
+ROUTE_SUMS = "PU_DO STRING, trips BIGINT, minutes DOUBLE, low DOUBLE, high DOUBLE"
 
 CELLS = "cell INT, trips BIGINT, minutes DOUBLE, squares DOUBLE"
 
 MODEL_HEADER = (
-    "overall DOUBLE, route_edges ARRAY<DOUBLE>, distance_edges ARRAY<DOUBLE>, "
+    "overall DOUBLE, low DOUBLE, high DOUBLE, route_edges ARRAY<DOUBLE>, distance_edges ARRAY<DOUBLE>, "
     "params MAP<STRING,STRING>, patience INT"
 )
 
@@ -74,3 +74,11 @@ ROUNDS = (
     "lefts ARRAY<INT>, rights ARRAY<INT>, leaf_values ARRAY<DOUBLE>, leaf_rows ARRAY<DOUBLE>, "
     "margins ARRAY<DOUBLE>, train_rmse DOUBLE, validation_rmse DOUBLE"
 )
+
+PREDICTION = "ride_id STRING, predicted_ts TIMESTAMP, prediction DOUBLE"
+
+ACTUAL = "ride_id STRING, actual_ts TIMESTAMP, duration DOUBLE"
+
+RATED_PREDICTION = (
+    "ride_id STRING, predicted_ts TIMESTAMP, prediction DOUBLE, actual_ts TIMESTAMP, duration DOUBLE"
+)
