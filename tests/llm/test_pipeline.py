@@ -101,3 +101,30 @@ def test_odd_rows_and_an_empty_table_go_through(spark, tmp_path):
             stage(spark, table, SF).write.parquet(path)
             table = spark.read.parquet(path)
         assert (table.count() > 0) == (n == 0)
+
+
+CLASHING = ("Score lang_pred _found size _key target source_size _copies _copy component _rows _hash kept row key "
+            "wordless text_hash ids n_tokens _told decoded starts ends spans _row2 _at _word _bits _own_hash "
+            "n_shingles set_id component_id _spans `a.b`").split()
+
+
+def test_columns_that_operators_use_come_out_unchanged(spark, tmp_path):
+    """Every stage keeps the values of columns whose names the operators use themselves."""
+    names = [c.strip("`") for c in CLASHING]
+    texts = ["the of and to in is that for with " * 9 + str(i) for i in range(6)]
+    texts += [texts[0], "der die und das ist nicht mit " * 9, "my password is hunter2zq9XkQ and more of it"]
+    rows = [(i, t, "de" if "der" in t else "en", "ab"[i % 2], len(t), *[f"{c}-{i}" for c in names])
+            for i, t in enumerate(texts)]
+    fields = "doc_id long, text string, lang string, source string, n_chars long, "
+    docs = spark.createDataFrame(rows, fields + ", ".join(f"`{c}` string" for c in names))
+    for name, stage in P.STAGES[:-1]:
+        path = str(tmp_path / name)
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns
+        out.write.parquet(path)
+        docs = spark.read.parquet(path)
+        got = docs.collect()
+        assert got
+        for r in got:
+            assert all(r[c] == f"{c}-{r['doc_id']}" for c in names), (name, r)
+    assert P.STAGES[-1][1](spark, docs, SF).count() == docs.count()
