@@ -67,3 +67,56 @@ def test_replay_order_and_limit(spark, sf_dir):
     assert all_rides == ["ride_" + k for k in sorted(ids, key=digest)]
     some = [r.ride_id for r in sampling.shuffled_replay(trips, "trip_id", 20).collect()]
     assert some == all_rides[:20]
+
+
+@pytest.fixture(scope="module")
+def ranked(spark, keys):
+    from tripmill.session import fresh_folder
+    return sampling.store_ranked(keys, "key", fresh_folder(spark, "ranked"), parts=5)
+
+
+@pytest.mark.parametrize("start, stop", [
+    (0, 0), (0, 1), (0, 3000), (17, 18), (5, 2990), (1234, 1700), (2999, 3000), (2990, 4000), (3000, 3001)])
+def test_stored_slice_is_the_same_slice(spark, ranked, start, stop):
+    got = sampling.stored_slice(spark, ranked, start, stop)
+    assert got.columns == ["key", "id"]
+    assert sorted(r.key for r in got.collect()) == sorted(ORDER[start:stop])
+
+
+def test_stored_slice_inside_one_prefix(spark, keys, monkeypatch):
+    from tripmill.session import fresh_folder
+    monkeypatch.setattr(sampling, "PREFIX_CHARACTERS", 1)
+    table = sampling.store_ranked(keys, "key", fresh_folder(spark, "ranked"))
+    got = sampling.stored_slice(spark, table, 3, 40).collect()
+    assert sorted(r.key for r in got) == sorted(ORDER[3:40])
+
+
+def test_stored_slice_is_one_scan_with_the_hashes_pushed_down(spark, ranked):
+    plan = sampling.stored_slice(spark, ranked, 1200, 1300)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan and "Window" not in plan
+    assert "GreaterThanOrEqual(_hash" in plan and "LessThanOrEqual(_hash" in plan
+    files = {r.f for r in sampling.stored_slice(spark, ranked, 1200, 1300).select(
+        F.input_file_name().alias("f")).distinct().collect()}
+    assert len(files) <= 2
+
+
+def test_stored_record_and_its_bounds(spark, ranked):
+    assert sampling.stored_record(spark, ranked, 1234).first().key == ORDER[1234]
+    for index in (-1, 3000):
+        with pytest.raises(IndexError):
+            sampling.stored_record(spark, ranked, index)
+    with pytest.raises(ValueError):
+        sampling.stored_slice(spark, ranked, 5, 4)
+
+
+def test_stored_empty_table_and_a_clashing_column(spark, keys):
+    from tripmill.session import fresh_folder
+    table = sampling.store_ranked(keys.limit(0), "key", fresh_folder(spark, "ranked"))
+    assert sampling.stored_slice(spark, table, 0, 10).count() == 0
+    with pytest.raises(ValueError):
+        sampling.store_ranked(keys.withColumn("_hash", F.lit(1)), "key", fresh_folder(spark, "ranked"))
+
+
+def test_directory_counts_every_row(spark, ranked):
+    counts = ranked.counts(spark)
+    assert sum(n for _, n in counts) == 3000 and [p for p, _ in counts] == sorted(p for p, _ in counts)

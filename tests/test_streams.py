@@ -106,3 +106,55 @@ def test_any_source_maps_to_records(spark):
     got = streams.read_predictions(spark, out)
     assert got.count() == 10
     assert got.where("features.trip_distance <> sequence_number").isEmpty()
+
+
+def test_latest_by_stream_under_replay_and_disorder(spark):
+    import random
+    from datetime import datetime, timedelta
+    from tripmill.streaming import latest
+    rng = random.Random(6)
+    rows = []
+    for i in range(300):
+        at = datetime(2024, 3, 1) + timedelta(seconds=rng.randrange(2 * 86_400))
+        rows.append((f"r{rng.randrange(40)}", at.isoformat(), ("1", "2", 1.0), float(i), False, i,
+                     at.year, at.month, at.day))
+    rows += rows[:50]                 # sent again
+    rng.shuffle(rows)                 # and out of order
+    root, out, progress = (fresh_folder(spark, n) for n in ("entries", "latest", "progress"))
+    whole = spark.createDataFrame(rows, schemas.PREDICTION_LOG)
+
+    def run():
+        streams.finish(latest.stream_latest(latest.stream_entries(spark, root, max_files_per_trigger=1),
+                                            out, progress, delay="3 days"))
+        return latest.latest_view(spark, out)
+
+    for begin in range(0, len(rows), 100):
+        part = spark.createDataFrame(rows[begin:begin + 100], schemas.PREDICTION_LOG)
+        part.coalesce(1).write.mode("append").partitionBy("year", "month", "day").json(root)
+        got = run()
+    want = predictions.latest_predictions(whole)
+    assert got.count() == want.count() > 60
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    assert run().exceptAll(want).isEmpty()
+
+
+def test_days_behind_the_watermark_leave_the_state(spark):
+    from tripmill.streaming import latest
+    root, out, progress = (fresh_folder(spark, n) for n in ("entries", "latest", "progress"))
+
+    def add(day, number):
+        row = ("r1", f"2024-03-{day:02d}T10:00:00", ("1", "2", 1.0), 5.0, False, number, 2024, 3, day)
+        spark.createDataFrame([row], schemas.PREDICTION_LOG).write.mode("append").partitionBy(
+            "year", "month", "day").json(root)
+        query = latest.stream_latest(latest.stream_entries(spark, root), out, progress, delay="1 hour")
+        streams.finish(query)
+        return query
+
+    add(1, 1)
+    add(9, 2)
+    query = add(10, 3)
+    kept = [p.stateOperators[0].numRowsTotal for p in query.recentProgress if p.stateOperators]
+    assert kept[-1] == 1  # the day before is past
+    add(1, 9)             # too late
+    days = {(r.day, r.sequence_number) for r in latest.latest_view(spark, out).collect()}
+    assert days == {(1, 1), (9, 2), (10, 3)}

@@ -537,4 +537,5 @@ SELECT CASE WHEN reason IS NULL THEN 'accepted' ELSE 'rejected' END AS outcome,
 FROM requests GROUP BY 1, 2""")
     sql["stream_ingest_validated"] = _with(TIMED + f", enveloped AS ({_envelopes()})", """
 SELECT trip_id, event_id, reason AS error, reason IS NULL AS valid FROM enveloped""")
+    sql["stream_latest_predictions"] = sql["latest_predictions"]
     return sql

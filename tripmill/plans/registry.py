@@ -19,6 +19,7 @@ from tripmill.session import fresh_folder, prepare
 from tripmill.sinks import tables as sinks
 from tripmill.sources import documents, fixtures, records
 from tripmill.sources import trips as trip_source
+from tripmill.streaming import latest as latest_streams
 from tripmill.streaming import quality as quality_streams
 from tripmill.streaming import rides as streams
 
@@ -88,6 +89,12 @@ def landed_months(spark, sf_dir) -> str:
     return _once(spark, sf_dir, "months", make)
 
 
+def ranked_trips(spark, sf_dir) -> sampling.RankedTable:
+    """The trips laid out in their seeded order, shared by the queries for slices."""
+    return _once(spark, sf_dir, "ranked", lambda: sampling.store_ranked(
+        _trips(spark, sf_dir), "trip_id", fresh_folder(spark, "ranked")))
+
+
 def landed_records(spark, sf_dir) -> str:
     def make():
         root = fresh_folder(spark, "records")
@@ -323,7 +330,7 @@ def quarantine_split(spark, sf_dir):
 
 def load_transform_validate(spark, sf_dir):
     checked = sampling.load_transform_validate(
-        _trips(spark, sf_dir), "trip_id", SLICE_START, SLICE_SIZE)
+        ranked_trips(spark, sf_dir), "trip_id", SLICE_START, SLICE_SIZE)
     return checked.select("trip_id", "event_id", "valid", "error")
 
 
@@ -358,6 +365,16 @@ def predictions_per_day(spark, sf_dir):
     return predictions.predictions_per_day(latest)
 
 
+def stream_latest_predictions(spark, sf_dir):
+    """The latest prediction per day and ride as a stream keeps it."""
+    landed_predictions(spark, sf_dir)
+    out = fresh_folder(spark, "latest")
+    entries = latest_streams.stream_entries(
+        spark, _once(spark, sf_dir, "predictions", lambda: None), schemas.PREDICTION_LOG)
+    streams.finish(latest_streams.stream_latest(entries, out, fresh_folder(spark, "progress")))
+    return _flat(latest_streams.latest_view(spark, out))
+
+
 def recent_predictions(spark, sf_dir):
     latest = predictions.latest_predictions(landed_predictions(spark, sf_dir))
     return _flat(predictions.since(latest, REPORT_TIME, REPORT_HOURS))
@@ -366,16 +383,16 @@ def recent_predictions(spark, sf_dir):
 # ---- samples and order -------------------------------------------------------------------------
 
 def seeded_sample(spark, sf_dir):
-    return sampling.seeded_sample(_trips(spark, sf_dir), "trip_id", SAMPLE_ROWS)
+    return sampling.stored_slice(spark, ranked_trips(spark, sf_dir), 0, SAMPLE_ROWS)
 
 
 def record_at_index(spark, sf_dir):
-    return sampling.record_at_index(_trips(spark, sf_dir), "trip_id", RECORD_INDEX)
+    return sampling.stored_record(spark, ranked_trips(spark, sf_dir), RECORD_INDEX)
 
 
 def batch_slice(spark, sf_dir):
     return _flat_envelopes(
-        sampling.batch_slice(_trips(spark, sf_dir), "trip_id", SLICE_START, SLICE_SIZE))
+        sampling.batch_slice(ranked_trips(spark, sf_dir), "trip_id", SLICE_START, SLICE_SIZE))
 
 
 def shuffled_replay(spark, sf_dir):
@@ -675,7 +692,7 @@ REGISTERED = (
     ride_from_json, fill_event_timestamp, serving_features, normalize_event,
     duration_filter, pickup_month_filter, clean_trips, validate_events, quarantine_split,
     load_transform_validate, ride_id_lookup, zone_range_check,
-    cleaning_funnel, rmse, rmse_gate, batch_outcome, predictions_per_day, recent_predictions,
+    cleaning_funnel, rmse, rmse_gate, batch_outcome, predictions_per_day, recent_predictions, stream_latest_predictions,
     seeded_sample, record_at_index, batch_slice, shuffled_replay, sort_by_event_time,
     training_months, data_month, training_months_fallback, prediction_path, iso_timestamp,
     decode_records, ensure_ride_id,
