@@ -82,3 +82,52 @@ def test_jobs_do_not_grow_with_the_columns(spark):
 
     one, six = jobs(["c0"]), jobs([f"c{i}" for i in range(6)])
     assert six <= one + 3
+
+
+def psi(e, a):
+    te, ta = sum(e), sum(a)
+    pairs = [(max(x / te, 1e-6), max(y / ta, 1e-6)) for x, y in zip(e, a)]
+    return sum((y - x) * math.log(y / x) for x, y in pairs)
+
+
+def test_drift_of_a_column_of_many_values(spark):
+    rng = random.Random(7)
+    rows = [(f"v{int(rng.random() ** 3 * 400)}", False) for _ in range(3000)]
+    rows += [(f"v{int(rng.random() ** 2 * 400)}", True) for _ in range(2000)]
+    rows += [(None, False), (None, True)]
+    df = spark.createDataFrame(rows, "v string, now boolean")
+    counts = {}
+    for v, now in rows:
+        counts.setdefault(v, [0, 0])[now] += 1
+    heavy = {v for v, (e, _) in counts.items() if v is not None and e >= 0.01 * 3001}
+    bins = [counts[v] for v in sorted(heavy)]
+    bins.append([sum(c[k] for v, c in counts.items() if v not in heavy) for k in (0, 1)])
+    got = M.value_drift(df, F.col("now"), "v", 0.01).first()
+    assert 5 < len(heavy) < 60 and got.feature == "v"
+    assert got.psi == pytest.approx(psi(*zip(*bins)))
+    assert M.value_drift(df.limit(0), F.col("now"), "v", 0.01).count() == 0
+
+
+def test_summaries_merge_and_hold_every_frequent_value(spark):
+    df = spark.range(60_000).select(F.concat(F.lit("x"), F.floor(F.pow(F.rand(3), 4) * 30_000).cast("int"))
+                                    .alias("v"), (F.col("id") % 5).alias("month")).cache()
+    parts = M.heavy_summary(df, "v", F.col("month"))
+    assert parts.count() == 5
+    found = {r.value for r in M.frequent_values(parts, 0.002).collect()}
+    true = {r.v for r in df.groupBy("v").count().where("count >= 0.002 * 60000").collect()}
+    assert true and true <= found and len(found) <= 1 / (0.002 - M.SUMMARY_ERROR) + 1
+    with pytest.raises(ValueError):
+        M.frequent_values(parts, M.SUMMARY_ERROR)
+
+
+def test_quantile_edges_and_their_drift(spark):
+    df = spark.createDataFrame([(float(i % 7), i < 40) for i in range(100)] + [(None, True)],
+                               "x double, now boolean")
+    edges = M.quantile_edges(df.where("NOT now"), ["x"], 4)["x"]
+    values = sorted(float(i % 7) for i in range(40, 100))
+    assert edges == sorted({values[math.ceil(s * 60) - 1] for s in (0.25, 0.5, 0.75)})
+    bins = [[0, 0] for _ in range(len(edges) + 1)]
+    for i in range(100):
+        bins[sum(e < i % 7 for e in edges)][i < 40] += 1
+    got = M.feature_drift(df, F.col("now"), {"x": edges}).first()
+    assert got.psi == pytest.approx(psi(*zip(*bins)))

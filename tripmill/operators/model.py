@@ -16,7 +16,7 @@ from tripmill.operators import boosting
 from tripmill.operators.features import (
     route_sums, smoothed_mean, with_other_trips_mean, with_route,
 )
-from tripmill.operators.monitoring import values_at_ranks
+from tripmill.operators.monitoring import binned, edges_of, values_at_ranks
 from tripmill.session import shared_root
 
 SUMS, MEANS, CELLS, CHECKED, HEADER, ROUNDS = (
@@ -70,23 +70,6 @@ class DurationModel:
 
 # ---- bins --------------------------------------------------------------------------------------------
 
-def binned(value: Column, edges: Sequence[float], missing: int) -> Column:
-    """How many edges lie below a value, by halving; ``missing`` for null and NaN."""
-    def between(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(value <= F.lit(edges[middle]), between(low, middle)).otherwise(
-            between(middle + 1, high))
-    found = between(0, len(edges))
-    return F.when(value.isNull() | F.isnan(value), F.lit(missing)).otherwise(found).cast("int")
-
-
-def edges_of(values: Sequence[float | None]) -> list[float]:
-    """Distinct values in order, without those that are unknown."""
-    return sorted({v for v in values if v is not None})
-
-
 def cell_of(route_bin: Column, distance: Column, model: "DurationModel") -> Column:
     side = model.params.side
     return route_bin * F.lit(side) + binned(distance, model.distance_edges, side - 1)

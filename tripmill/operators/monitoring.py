@@ -18,6 +18,11 @@ from pyspark.sql import functions as F
 FENCE = 1.5
 EMPTY_SHARE = 1e-6
 DRIFT_LIMIT = 0.2
+#: Values of a summary, and what its counts can be off by: 3.5 over the slots of its table, which are the
+#: next power of two above 4 / 3 of the values.
+TRACKED = 131_072
+SUMMARY_ERROR = 3.5 / 262_144
+HEAVY_SHARE = 1e-4
 HISTOGRAM_BINS = 16_384
 
 
@@ -112,19 +117,55 @@ def bin_of(value: Column, low: float, high: float, bins: int) -> Column:
     return F.when(value < low, 0).when(value >= high, bins + 1).otherwise(inside).cast("int")
 
 
+def binned(value: Column, edges: Sequence[float], missing: int) -> Column:
+    """How many edges lie below a value, by halving; ``missing`` for null and NaN."""
+    def between(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(value <= F.lit(edges[middle]), between(low, middle)).otherwise(
+            between(middle + 1, high))
+    found = between(0, len(edges))
+    return F.when(value.isNull() | F.isnan(value), F.lit(missing)).otherwise(found).cast("int")
+
+
+def edges_of(values: Sequence[float | None]) -> list[float]:
+    """Distinct values in order, without those that are unknown."""
+    return sorted({v for v in values if v is not None})
+
+
+def quantile_edges(df: DataFrame, columns: Sequence[str], bins: int) -> dict[str, list[float]]:
+    """Edges that cut the rows into bins of equal size; equal ones are one."""
+    shares = [i / bins for i in range(1, bins)]
+    found = values_at_ranks(df, {c: shares for c in columns})
+    return {c: edges_of(found[c][0]) for c in columns}
+
+
 def feature_drift(df: DataFrame, is_current: Column,
-                  edges: Mapping[str, tuple[float, float, int]]) -> DataFrame:
+                  edges: Mapping[str, tuple[float, float, int] | list[float]]) -> DataFrame:
     """The stability index of each feature between the reference rows and the current ones.
 
-    ``edges`` names the features with the range and number of their bins. All are counted in one scan
-    with one small shuffle.
+    ``edges`` names the features with the range and number of their bins, or with a list of edges. All
+    are counted in one scan with one small shuffle.
     """
+    def place(name: str, span: tuple | list) -> Column:
+        value = F.col(name)
+        if isinstance(span, tuple):
+            return bin_of(value, *span)
+        return F.when(value.isNotNull() & ~F.isnan(value), binned(value, span, -1))
+
     features = F.explode(F.array(*[
-        F.struct(F.lit(name).alias("feature"), bin_of(F.col(name), *span).alias("bin"))
+        F.struct(F.lit(name).alias("feature"), place(name, span).alias("bin"))
         for name, span in edges.items()]))
     counted = df.select(is_current.alias("_current"), features.alias("_f")).where(
         F.col("_f.bin").isNotNull()).groupBy("_f.feature", "_f.bin").agg(
         F.count_if(~F.col("_current")).alias("e"), F.count_if("_current").alias("a"))
+    return stability(counted)
+
+
+def stability(counted: DataFrame) -> DataFrame:
+    """The stability index of each feature from the reference rows ``e`` and current rows ``a`` of its
+    bins."""
     whole = Window.partitionBy("feature")  # as many rows as a feature has bins
 
     def share(n: str) -> Column:
@@ -135,6 +176,50 @@ def feature_drift(df: DataFrame, is_current: Column,
         F.sum((F.col("a") - F.col("e")) * F.ln(F.col("a") / F.col("e"))).alias("psi"))
 
 
+def heavy_summary(df: DataFrame, column: str, *parts: Column) -> DataFrame:
+    """A summary of bounded size of the frequent values of each part, for example of each month.
+
+    Summaries are merged by ``frequent_values``, so parts that have not changed need no new scan. A
+    summary tracks ``TRACKED`` values; its counts are off by at most ``SUMMARY_ERROR`` of the rows.
+    """
+    return df.where(F.col(column).isNotNull()).groupBy(*parts).agg(
+        F.call_function("approx_top_k_accumulate", F.col(column), F.lit(TRACKED)).alias("summary"))
+
+
+def frequent_values(summaries: DataFrame, share: float) -> DataFrame:
+    """All values that at least ``share`` of the rows have, and few others: at most
+    ``1 / (share - SUMMARY_ERROR)``."""
+    if share <= SUMMARY_ERROR:
+        raise ValueError(f"a share must be above {SUMMARY_ERROR}")
+    most = min(TRACKED, math.ceil(1 / (share - SUMMARY_ERROR)))
+    merged = summaries.agg(
+        F.call_function("approx_top_k_combine", "summary", F.lit(TRACKED)).alias("summary"))
+    return merged.select(F.explode(F.call_function(
+        "approx_top_k_estimate", "summary", F.lit(most))).alias("_e")).select(
+        F.col("_e.item").alias("value"))
+
+
+def value_drift(df: DataFrame, is_current: Column, column: str,
+                share: float = HEAVY_SHARE) -> DataFrame:
+    """The stability index of a column of many values, such as routes: each value that at least
+    ``share`` of the reference rows have is a bin, all others are one.
+
+    A summary proposes the values, at most ``1 / share`` about; one scan counts them exactly.
+    """
+    reference = df.where(~is_current)
+    summaries = heavy_summary(reference, column, F.spark_partition_id().alias("part"))
+    heavy = F.broadcast(frequent_values(summaries, share))
+    counted = df.select(is_current.alias("_current"), F.col(column).alias("value")).join(
+        heavy.withColumn("heavy", F.lit(True)), "value", "left").groupBy(
+        F.when(F.col("heavy"), F.col("value")).alias("value")).agg(
+        F.count_if(~F.col("_current")).alias("e"), F.count_if("_current").alias("a"))
+    whole = Window.partitionBy(F.lit(column))  # the proposed values
+    enough = F.col("value").isNotNull() & (F.col("e") >= F.lit(share) * F.col("total"))
+    return stability(counted.withColumn("total", F.sum("e").over(whole)).groupBy(
+        F.lit(column).alias("feature"), F.when(enough, F.col("value")).alias("bin")).agg(
+        F.sum("e").alias("e"), F.sum("a").alias("a")))
+
+
 def drift_alert(drift: DataFrame, limit: float = DRIFT_LIMIT) -> DataFrame:
     """Whether a feature has drifted beyond the limit; an unknown index is no alert."""
     return drift.withColumn("alert", F.coalesce(F.col("psi") > limit, F.lit(False)))

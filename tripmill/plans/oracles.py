@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import asdict
 
 from tripmill import settings as S
+from tripmill.operators import monitoring
 from tripmill.plans import registry as R
 
 # ---- views shared by several queries -----------------------------------------------------------
@@ -488,6 +489,34 @@ shares AS (
 drift AS (SELECT feature, sum((a - e) * ln(a / e)) AS psi FROM shares GROUP BY feature)"""
     sql["feature_drift"] = _with(drift, "SELECT feature, round(psi, 6) AS psi FROM drift")
     sql["drift_alert"] = _with(drift, "SELECT feature, psi > 0.2 AS alert FROM drift")
+    index = """sum((greatest(a / CAST(ta AS DOUBLE), 1e-6) - greatest(e / CAST(te AS DOUBLE), 1e-6))
+  * ln(greatest(a / CAST(ta AS DOUBLE), 1e-6) / greatest(e / CAST(te AS DOUBLE), 1e-6)))"""
+    sql["route_drift"] = _with(CLEAN + f""",
+routes AS (
+  SELECT PU_DO, count(*) FILTER (WHERE tpep_pickup_datetime < TIMESTAMP '{R.DRIFT_FROM}') AS e,
+    count(*) FILTER (WHERE tpep_pickup_datetime >= TIMESTAMP '{R.DRIFT_FROM}') AS a
+  FROM clean GROUP BY PU_DO),
+totals AS (SELECT sum(e) AS te, sum(a) AS ta FROM routes),
+bins AS (
+  SELECT CASE WHEN e >= CAST({monitoring.HEAVY_SHARE} AS DOUBLE) * te THEN PU_DO END AS bin,
+    sum(e) AS e, sum(a) AS a, any_value(te) AS te, any_value(ta) AS ta FROM routes, totals GROUP BY 1)""",
+        f"SELECT 'PU_DO' AS feature, round({index}, 6) AS psi FROM bins")
+    deciles = " UNION ALL ".join(f"""
+SELECT '{c}' AS feature, list(DISTINCT v) AS edges FROM (
+  SELECT {c} AS v, row_number() OVER (ORDER BY {c}) AS place, count(*) OVER () AS n FROM clean
+  WHERE tpep_pickup_datetime < TIMESTAMP '{R.DRIFT_FROM}')
+WHERE list_contains(list_transform(range(1, {R.DECILES}), lambda i: CAST(ceil(i / {R.DECILES} * n)
+  AS BIGINT)), place)""" for c in R.FENCED)
+    unpivoted = " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, {c} AS v, tpep_pickup_datetime >= TIMESTAMP '{R.DRIFT_FROM}' AS now "
+        "FROM clean" for c in R.FENCED)
+    sql["quantile_drift"] = _with(CLEAN + f""", cut AS ({deciles}), long AS ({unpivoted}),
+counted AS (
+  SELECT feature, len(list_filter(edges, lambda x: x < v)) AS bin, count(*) FILTER (WHERE NOT now) AS e,
+    count(*) FILTER (WHERE now) AS a FROM long JOIN cut USING (feature) GROUP BY ALL),
+bins AS (
+  SELECT *, sum(e) OVER (PARTITION BY feature) AS te, sum(a) OVER (PARTITION BY feature) AS ta
+  FROM counted)""", f"SELECT feature, round({index}, 6) AS psi FROM bins GROUP BY feature")
     rated = CLEAN + f""",
 asked AS (
   SELECT trip_id, tpep_pickup_datetime AS asked_at,

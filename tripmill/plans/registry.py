@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill import schemas
@@ -40,6 +40,7 @@ PARAMS = model.TrainingParams()
 DRIFT_FROM = date(1999, 1, 1)
 DRIFT_EDGES = {"trip_distance": (0.0, 20.0, 10), "duration": (0.0, 60.0, 12),
                "total_amount": (0.0, 100.0, 10)}
+DECILES = 10
 FENCED = ("trip_distance", "duration", "total_amount")
 PLAUSIBLE_MINUTES = (0.0, 120.0)
 # Seconds that a prediction waits for its trip, how late rows may come, and how late some are told.
@@ -588,6 +589,23 @@ def feature_drift(spark, sf_dir):
     return _drift(spark, sf_dir).select("feature", F.round("psi", 6).alias("psi"))
 
 
+def _is_current() -> Column:
+    return F.col(cleaning.PICKUP) >= F.lit(DRIFT_FROM).cast("timestamp_ntz")
+
+
+def route_drift(spark, sf_dir):
+    return monitoring.value_drift(_clean(spark, sf_dir), _is_current(), "PU_DO").select(
+        "feature", F.round("psi", 6).alias("psi"))
+
+
+def quantile_drift(spark, sf_dir):
+    """Drift over the deciles of the reference trips."""
+    clean = _clean(spark, sf_dir)
+    edges = monitoring.quantile_edges(clean.where(~_is_current()), FENCED, DECILES)
+    return monitoring.feature_drift(clean, _is_current(), edges).select(
+        "feature", F.round("psi", 6).alias("psi"))
+
+
 def drift_alert(spark, sf_dir):
     return monitoring.drift_alert(_drift(spark, sf_dir)).select("feature", "alert")
 
@@ -699,7 +717,7 @@ REGISTERED = (
     fit_features, transform_features, train_duration_model, train_with_validation, batch_score,
     score_or_default, default_prediction, model_store, training_runs,
     stream_score, stream_write_predictions, stream_quarantine, stream_ingest_validated,
-    completeness, outliers, feature_drift, drift_alert, model_quality, stream_model_quality, envelope_ids_unique,
+    completeness, outliers, feature_drift, route_drift, quantile_drift, drift_alert, model_quality, stream_model_quality, envelope_ids_unique,
 )
 
 
