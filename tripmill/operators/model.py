@@ -254,12 +254,13 @@ def in_range(margin: Column, model: DurationModel) -> Column:
 
 def predict(requests: DataFrame, model: DurationModel, rounds: int | None = None) -> DataFrame:
     """Requests with a ``prediction`` by all trees or the first ``rounds``; routes are derived as in
-    training. The margins, a row per cell, go to every task."""
+    training. The margins, one number per cell of the grid, are a constant of the plan."""
     chosen = model.rounds if rounds is None else model.rounds.where(F.col("round") < rounds)
-    last = chosen.agg(F.max_by("margins", "round").alias("margins"))
-    grid = last.select(F.posexplode("margins").alias("_cell", "margin")).select(
-        "_cell", in_range(F.col("margin"), model).alias("prediction"))
-    return with_cell(requests, model).join(F.broadcast(grid), "_cell", "left").drop("_cell")
+    margins = chosen.agg(F.max_by("margins", "round")).first()[0]
+    served = np.array(margins if margins is not None else []).clip(model.low, model.high)
+    grid = F.split(F.lit(",".join(map(repr, served.tolist()))), ",").cast("array<double>")
+    return with_cell(requests, model).withColumn("prediction", F.get(grid, F.col("_cell"))).drop(
+        "_cell")
 
 
 def with_default(predicted: DataFrame) -> DataFrame:
