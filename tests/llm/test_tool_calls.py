@@ -1,7 +1,9 @@
 import json
 
+import pytest
 from brute import as_dicts, rows
 from compare import differences, duck
+from pyspark.sql import functions as F
 
 from tripmill.llm import oracles, queries
 from tripmill.llm import tool_calls as T
@@ -139,3 +141,28 @@ def test_no_message_vanishes(spark):
         ("1", "3", "malformed", "None", "None"), ("1", "7", "malformed", "None", "None"),
         ("1", "None", "orphan", "5", "no json"), ("1", "None", "orphan", "6", "no id"),
         ("1", "None", "orphan", "8", "None")])
+
+
+@pytest.mark.parametrize("kind", ["string", "integer", "number", "boolean", "object", "array"])
+def test_a_reference_may_stand_for_any_kind(spark, kind):
+    schemas = {"t": {"x": T.Parameter(kind, least=1, most=2, choices=("a",))
+                     if kind in ("integer", "number") else T.Parameter(kind)}}
+    texts = ['{"x":{"$result":"a"}}', '{"x": { "$result" : "a" } }', '{"x":{"$result":"a","y":1}}',
+             '{"x":{"$result":5}}', "{}"]
+    df = spark.createDataFrame([(t,) for t in texts], "arguments string")
+    got = [r.e for r in df.select(T.argument_errors(
+        F.lit("t"), F.col("arguments"), schemas).alias("e")).collect()]
+    assert got[:2] == [[], []] and got[4] == ["x: missing"]
+    wrong = [] if kind == "object" else [f"x: no {kind}"]
+    assert got[2] == wrong
+
+
+def test_a_typed_argument_is_linked_by_its_reference(spark):
+    calls = spark.createDataFrame(
+        [(1, 0, "a", "answer", '{"question":"q","n_words":3}'),
+         (1, 2, "b", "answer", '{"question":{"$result":"a"},"n_words":{"$result":"a"}}')],
+        "conv_id long, turn long, call_id string, name string, arguments string")
+    results = spark.createDataFrame([(1, 1, "a", "r"), (1, 3, "b", "s")],
+                                    "conv_id long, turn long, call_id string, content string")
+    got = {r["call_id"]: (r["level"], r["status"]) for r in T.link(calls, results).collect()}
+    assert got == {"a": (0, "linked"), "b": (1, "linked")}

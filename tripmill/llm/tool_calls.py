@@ -2,7 +2,8 @@
 
 Calls and results of all conversations are hash-joined on conversation and call id. A call can use the
 result of another one by an argument ``{"$result": "<call id>"}``; these references give the order: a
-call stands one level above the highest call it refers to. Levels are found by pointer doubling: a
+call stands one level above the highest call it refers to. A reference may stand for an argument of any
+kind. Levels are found by pointer doubling: a
 reference to a call that itself has a single open reference jumps to the end of that one, so a chain
 of n calls takes log2(n) rounds, each a join of written tables. Arguments are validated against the
 tools' schemas and serialised as canonical JSON (keys in order, no spaces). DataFrame and SQL
@@ -131,6 +132,12 @@ def references(arguments: Column) -> Column:
         arguments, F.lit(r'\{\s*"\$result"\s*:\s*"([^"\\]*)"\s*\}')))
 
 
+def is_reference(part: Column) -> Column:
+    """Whether a variant is ``{"$result": id}`` and nothing else."""
+    return F.coalesce(F.try_variant_get(part, "$['$result']", "string").isNotNull() & (
+        F.size(F.json_object_keys(F.to_json(part))) == 1), F.lit(False))
+
+
 def argument_errors(name: Column, arguments: Column, schemas: Schemas = SCHEMAS) -> Column:
     """What is wrong with the arguments of a tool, in order of the names; empty if nothing is."""
     value = F.try_parse_json(arguments)
@@ -144,7 +151,9 @@ def argument_errors(name: Column, arguments: Column, schemas: Schemas = SCHEMAS)
             absent = part.isNull()
             number = F.try_variant_get(value, path, "double")
             text = F.try_variant_get(value, path, "string")
+            # A reference stands for a value that is not there yet, of whatever kind.
             error = F.when(absent, f"{parameter}: missing" if rule.required else None).when(
+                is_reference(part), F.lit(None)).when(
                 ~kind.rlike(KINDS[rule.kind]), f"{parameter}: no {rule.kind}")
             if rule.least is not None:
                 error = error.when(number < rule.least, f"{parameter}: too small")
@@ -222,7 +231,8 @@ def same(a: str, b: str) -> Column:
 
 
 def link(calls: DataFrame, results: DataFrame, schemas: Schemas = SCHEMAS) -> DataFrame:
-    """One row per call, and per result without a call, in the order (conv_id, level, turn)."""
+    """One row per call, and per result without a call; conv_id, level and turn give their order, the
+    rows themselves come in none."""
     spark = calls.sparkSession
     rows = written(calls.select("conv_id", "turn", "call_id", "name", "arguments"),
                    fresh_folder(spark, "calls"))
