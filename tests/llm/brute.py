@@ -155,3 +155,23 @@ def mixed(docs, key_of, weights=(3.0, 1.0, 2.0), share=1.5, most=2):
             break
         taken[place] += sizes[place]
     return [(d[0], sizes[p], of[d[1]], target[d[1]], taken[p]) for p, d in enumerate(docs)]
+
+
+def network_odds(weights, widths, window):
+    """Probabilities of a byte convolutional network for one window, place by place."""
+    pooled = []
+    for w in widths:
+        kernel, bias = weights[f"filter{w}"], weights[f"bias{w}"]
+        for f in range(kernel.shape[2]):
+            best = -math.inf
+            for start in range(len(window) - w + 1):
+                total = 0.0
+                for place in range(w):
+                    for e, x in enumerate(weights["embedding"][window[start + place]]):
+                        total += float(x) * float(kernel[place][e][f])
+                best = max(best, total)
+            pooled.append(max(best + float(bias[f]), 0.0))
+    scores = [sum(p * float(weights["out"][i][k]) for i, p in enumerate(pooled))
+              + float(weights["out_bias"][k]) for k in range(len(weights["out_bias"]))]
+    powers = [math.exp(s - max(scores)) for s in scores]
+    return [p / sum(powers) for p in powers]

@@ -1,7 +1,7 @@
 import zlib
 
 import numpy as np
-from brute import as_dicts, rows
+from brute import as_dicts, network_odds, rows
 
 from tripmill.llm import langid, queries
 
@@ -81,3 +81,42 @@ def test_pair_tables_and_windows_agree_with_the_plain_network():
     pooled = np.hstack([network._answers(windows, w).max(axis=1) for w in settings.widths])
     plain = langid.softmax(np.maximum(pooled, 0) @ network.weights["out"])
     assert np.allclose(np.exp(network.log_odds(windows)), plain, atol=1e-4)
+
+
+def test_forward_pass_against_a_plain_one():
+    rng = np.random.default_rng(8)
+    settings = langid.Settings(window=14, filters=3, embedding=4)
+    network = langid.ByteNetwork(["a", "b", "c"], settings)
+    for name, value in network.weights.items():
+        network.weights[name] = rng.normal(0, 0.7, value.shape).astype("float32")
+    windows = rng.integers(0, 256, (6, 14)).astype(np.uint8)
+    got = np.exp(network.log_odds(windows))
+    want = [network_odds(network.weights, settings.widths, w.tolist()) for w in windows]
+    assert np.allclose(got, want, atol=1e-4)
+
+
+def test_no_text_is_shuffled_for_the_sample(spark, monkeypatch):
+    """What goes into the aggregate and the ranking is cut to windows before."""
+    import pandas as pd
+    docs = spark.range(60).selectExpr("id AS doc_id", "repeat('the of ', 5000) AS text", "'en' AS lang")
+    seen = {}
+
+    def kept(self):
+        seen["plan"] = self._jdf.queryExecution().executedPlan().toString()
+        return pd.DataFrame({"lang": [], "part": []})
+
+    monkeypatch.setattr(type(docs), "toPandas", kept)
+    langid.training_windows(docs)
+    for line in seen["plan"].split("\n"):
+        if "Exchange" in line and "Broadcast" not in line:
+            assert "text#" not in line
+
+
+def test_sample_is_bounded_and_equal_rows_are_one(spark):
+    docs = spark.range(400).selectExpr(
+        "id % 4 AS doc_id", "concat('some words of text ', id % 4) AS text", "'en' AS lang")
+    assert len(langid.training_windows(docs)) <= 4 * langid.Settings().windows
+    many = spark.range(3000).selectExpr("id AS doc_id", "concat('some words ', id) AS text",
+                                        "concat('l', id % 3) AS lang")
+    small = langid.Settings(max_rows=50, per_language=30)
+    assert len(langid.training_windows(many, small)) == 50 * small.windows
