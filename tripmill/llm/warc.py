@@ -263,9 +263,10 @@ def parse_record(data: bytes):
             _urn_id(headers.get("warc-refers-to")), headers.get("warc-target-uri"), intact)
 
 
-def read_records(index: DataFrame, root: str, span: int = 64 << 20) -> DataFrame:
+def read_records(index: DataFrame, root: str, span: int = 8 << 20) -> DataFrame:
     """Read the records that a table of offsets names, each by its own offset; ``root`` names the file
-    system that holds the archives."""
+    system that holds the archives. There is a task for every ``span`` bytes of archives, however small
+    the index is."""
     for_python(index.sparkSession)
 
     def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -285,8 +286,9 @@ def read_records(index: DataFrame, root: str, span: int = 64 << 20) -> DataFrame
             source.close()
 
     part = F.floor(F.col("offset") / span)
-    near = index.select("path", "offset", "length").repartition("path", part).sortWithinPartitions(
-        "path", "offset")
+    total = index.agg(F.sum("length")).first()[0] or 0
+    near = index.select("path", "offset", "length").repartition(
+        max(1, -(-total // span)), "path", part).sortWithinPartitions("path", "offset")
     return near.mapInPandas(fetch, RECORD).withColumns({
         "page_id": F.col("page_id").cast("long"), "refers_to": F.col("refers_to").cast("long")})
 
