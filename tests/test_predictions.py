@@ -1,5 +1,6 @@
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from tripmill import schemas
@@ -151,3 +152,39 @@ def test_nan_count_and_text_amount_reject_the_row(spark):
     df = df.withColumn("tpep_pickup_datetime", F.lit("2024-01-01").cast("timestamp_ntz"))
     got = [r.reason for r in events.trip_to_envelope(df).collect()]
     assert got == ["passenger_count is null", "total_amount is not a number", None]
+
+
+@pytest.fixture(scope="module")
+def lookup(spark):
+    ids = [f"r{i}" for i in range(500)] + ["ride_20240115_000000", "abab", "aba", "ä%_x", "", None]
+    rows = [(i, "2024-01-15T00:00:00", ("1", "2", 1.0), 5.0, False, n, 2024, 1, 15 + n % 2)
+            for n, i in enumerate(ids)]
+    entries = spark.createDataFrame(rows + rows[:30], schemas.PREDICTION_LOG)
+    path = fresh_folder(spark, "lookup")
+    predictions.store_lookup(entries, path)
+    stored = spark.read.schema(schemas.PREDICTION_LOG).parquet(f"{path}/{predictions.ENTRIES}")
+    grams = spark.read.schema(schemas.ID_GRAMS).parquet(f"{path}/{predictions.GRAMS}")
+    return entries, stored, grams
+
+
+@pytest.mark.parametrize("part", ["", "r4", "4", "49", "r49", "r499", "ride_2024", "bab", "abab", "%_", "ä",
+                                  "zz", "r1r1r1", "0000"])
+def test_stored_lookup_gives_what_a_scan_gives(lookup, part):
+    entries, stored, grams = lookup
+    for day in (15, 16):
+        want = predictions.ride_id_lookup(entries, part, 2024, 1, day)
+        got = predictions.stored_lookup(stored, grams, part, 2024, 1, day).select(*want.columns)
+        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_stored_lookup_prunes(lookup):
+    _, stored, grams = lookup
+    plan = predictions.stored_lookup(stored, grams, "ride_2024", 2024, 1, 15)._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert plan.count("PartitionFilters: [isnotnull(year") == 2 and "In(gram, [" in plan
+    short = predictions.stored_ids_with(grams, "r4", 2024, 1, 15)._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "StringStartsWith(gram,r4)" in short
+    whole = predictions.stored_id(stored, "r42", 2024, 1, 15)
+    assert "EqualTo(ride_id,r42)" in whole._jdf.queryExecution().executedPlan().toString()
+    assert [r.sequence_number for r in whole.collect()] == [42]

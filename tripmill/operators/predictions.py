@@ -49,6 +49,61 @@ def ride_id_lookup(entries: DataFrame, part_of_id: str, year: int, month: int,
     )
 
 
+# ---- stored look-up ----------------------------------------------------------------------------------
+
+ENTRIES, GRAMS = "entries", "grams"
+GRAM = 3
+DAYS = ("year", "month", "day")
+
+
+def store_lookup(entries: DataFrame, path: str) -> None:
+    """Lay entries out for look-ups by id: by day, in the order of ids, with a Bloom filter per row group;
+    beside them which ids hold each run of ``GRAM`` characters.
+
+    The runs at the end of an id are shorter, so every text within an id begins one of its runs. Long
+    days are split over several files by the rebalance hint.
+    """
+    entries.hint("rebalance", *DAYS).sortWithinPartitions(*DAYS, "ride_id").write.mode(
+        "overwrite").partitionBy(*DAYS).option("parquet.bloom.filter.enabled#ride_id", "true").option(
+        "parquet.block.size", 1 << 20).parquet(f"{path}/{ENTRIES}")
+    ids = entries.where(F.length("ride_id") > 0).select(*DAYS, "ride_id").distinct()
+    runs = F.explode(F.transform(F.sequence(F.lit(1), F.length("ride_id")),
+                                 lambda i: F.substring("ride_id", i, F.lit(GRAM))))
+    ids.select(*DAYS, runs.alias("gram"), "ride_id").distinct().hint("rebalance", *DAYS) \
+        .sortWithinPartitions(*DAYS, "gram", "ride_id").write.mode("overwrite").partitionBy(*DAYS).option(
+        "parquet.block.size", 1 << 20).parquet(f"{path}/{GRAMS}")
+
+
+def _of_day(df: DataFrame, year: int, month: int, day: int) -> DataFrame:
+    return df.where((F.col("year") == year) & (F.col("month") == month) & (F.col("day") == day))
+
+
+def stored_id(entries: DataFrame, ride_id: str, year: int, month: int, day: int) -> DataFrame:
+    """Entries of one whole id: row groups whose range or filter does not hold it are not read."""
+    return _of_day(entries, year, month, day).where(F.col("ride_id") == ride_id)
+
+
+def stored_ids_with(grams: DataFrame, part_of_id: str, year: int, month: int, day: int) -> DataFrame:
+    """Ids of one day that contain a text: those that hold all its runs, of which only the row groups
+    around these runs are read, and then the text itself."""
+    of_day = _of_day(grams, year, month, day)
+    if len(part_of_id) <= GRAM:
+        return of_day.where(F.col("gram").startswith(part_of_id)).select("ride_id").distinct()
+    asked = sorted({part_of_id[i:i + GRAM] for i in range(len(part_of_id) - GRAM + 1)})
+    held = of_day.where(F.col("gram").isin(asked)).groupBy("ride_id").agg(
+        F.count(F.lit(1)).alias("n")).where(F.col("n") == len(asked))
+    return held.where(F.col("ride_id").contains(part_of_id)).select("ride_id")
+
+
+def stored_lookup(entries: DataFrame, grams: DataFrame, part_of_id: str, year: int, month: int,
+                  day: int) -> DataFrame:
+    """What ``ride_id_lookup`` gives, from the stored tables; an empty text is in every id."""
+    of_day = _of_day(entries, year, month, day)
+    if not part_of_id:
+        return of_day.where(F.col("ride_id").isNotNull())
+    return of_day.join(stored_ids_with(grams, part_of_id, year, month, day), "ride_id", "left_semi")
+
+
 def since(entries: DataFrame, now: datetime, hours: int) -> DataFrame:
     """Predictions of the last hours, each once: a range on the time, with the days pruned."""
     start = now - timedelta(hours=hours)

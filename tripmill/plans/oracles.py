@@ -567,4 +567,5 @@ FROM requests GROUP BY 1, 2""")
     sql["stream_ingest_validated"] = _with(TIMED + f", enveloped AS ({_envelopes()})", """
 SELECT trip_id, event_id, reason AS error, reason IS NULL AS valid FROM enveloped""")
     sql["stream_latest_predictions"] = sql["latest_predictions"]
+    sql["ride_id_lookup_stored"] = sql["ride_id_lookup"]
     return sql

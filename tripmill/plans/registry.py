@@ -340,6 +340,18 @@ def ride_id_lookup(spark, sf_dir):
         landed_predictions(spark, sf_dir), LOOKUP_TEXT, *LOOKUP_DAY))
 
 
+def ride_id_lookup_stored(spark, sf_dir):
+    """The same from entries and runs of characters that are laid out once."""
+    def make():
+        path = fresh_folder(spark, "lookup")
+        predictions.store_lookup(landed_predictions(spark, sf_dir), path)
+        return path
+    path = _once(spark, sf_dir, "lookup", make)
+    entries = spark.read.schema(schemas.PREDICTION_LOG).parquet(f"{path}/{predictions.ENTRIES}")
+    grams = spark.read.schema(schemas.ID_GRAMS).parquet(f"{path}/{predictions.GRAMS}")
+    return _flat(predictions.stored_lookup(entries, grams, LOOKUP_TEXT, *LOOKUP_DAY))
+
+
 # ---- aggregates --------------------------------------------------------------------------------
 
 def cleaning_funnel(spark, sf_dir):
@@ -709,7 +721,7 @@ REGISTERED = (
     trip_to_envelope, trip_to_envelope_filled, trip_to_ride_event, ride_json_roundtrip,
     ride_from_json, fill_event_timestamp, serving_features, normalize_event,
     duration_filter, pickup_month_filter, clean_trips, validate_events, quarantine_split,
-    load_transform_validate, ride_id_lookup, zone_range_check,
+    load_transform_validate, ride_id_lookup, ride_id_lookup_stored, zone_range_check,
     cleaning_funnel, rmse, rmse_gate, batch_outcome, predictions_per_day, recent_predictions, stream_latest_predictions,
     seeded_sample, record_at_index, batch_slice, shuffled_replay, sort_by_event_time,
     training_months, data_month, training_months_fallback, prediction_path, iso_timestamp,

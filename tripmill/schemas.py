@@ -82,3 +82,5 @@ ACTUAL = "ride_id STRING, actual_ts TIMESTAMP, duration DOUBLE"
 RATED_PREDICTION = (
     "ride_id STRING, predicted_ts TIMESTAMP, prediction DOUBLE, actual_ts TIMESTAMP, duration DOUBLE"
 )
+
+ID_GRAMS = "gram STRING, ride_id STRING, year INT, month INT, day INT"
