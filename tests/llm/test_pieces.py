@@ -1,5 +1,7 @@
 import hashlib
 
+import numpy as np
+import pandas as pd
 import pytest
 import sentencepiece
 from brute import as_dicts, rows
@@ -95,3 +97,38 @@ def test_null_ids_and_empty_tables(spark):
     assert pieces.digests(docs.limit(0), queries.piece_model()).count() == 0
     kept = pieces.with_pieces(docs, queries.piece_model())
     assert kept.columns == ["doc_id", "text", "n_tokens", "ids", "starts", "ends"]
+
+
+def test_digests_come_from_spans_and_decoded_ids(model, library, monkeypatch):
+    texts = [*ODD, None, "Hello wörld, 中文 and more.", "Hello wörld"]
+    for text, (ids, starts, ends) in zip(texts, model.encode_all([t or "" for t in texts])):
+        assert ids.tolist() == library.encode(text or "")
+        assert [x.tolist() for x in (starts, ends)] == [x.tolist() for x in model.encode(text or "")[1:]]
+    told = []
+    encode_all, decode = pieces.PieceModel.encode_all, pieces.PieceModel.decode
+    monkeypatch.setattr(pieces.PieceModel, "encode_all", lambda self, some: [
+        (ids, starts, starts) for ids, starts, ends in encode_all(self, some)])
+    monkeypatch.setattr(pieces.PieceModel, "decode",
+                        lambda self, ids: told.append(list(ids)) or decode(self, ids))
+    got = pieces._teller(pieces.read_model(queries.piece_model()), True).func(pd.Series(texts))
+    assert told == [library.encode(t or "") for t in texts]
+    for text, row in zip(texts, got.itertuples()):
+        assert row.n_tokens == len(row.ids) == len(library.encode(text or ""))
+        assert row.covered_bytes == 0  # by the spans, which were emptied
+
+
+def test_bytes_covered_count_once():
+    def covered(*spans):
+        return pieces.covered(*np.array(spans, np.int32).reshape(-1, 2).T)
+    assert covered() == 0
+    assert covered((0, 3), (0, 3), (0, 3), (3, 5)) == 5
+    assert covered((2, 4), (6, 7)) == 3
+
+
+def test_remembering_forgets_nothing_of_a_batch(library, monkeypatch):
+    monkeypatch.setattr(pieces, "REMEMBERED", 3)
+    ours = pieces.PieceModel(pieces.read_model(queries.piece_model()))
+    texts = [f"w{i} w{i + 1} w{i % 4} 中文w{i}" for i in range(20)] * 2
+    for begin in range(0, len(texts), 7):
+        part = texts[begin:begin + 7]
+        assert [ids.tolist() for ids, _, _ in ours.encode_all(part)] == library.encode(part)

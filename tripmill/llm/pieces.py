@@ -7,10 +7,10 @@ characters fall back to bytes, and each piece is projected through that record t
 bytes it stands for.
 
 If no piece of the model has a space mark after another character, merges never cross the beginning
-of a word, so words are encoded one by one and each worker remembers the words it has met lately (two
-generations of at most ``REMEMBERED``). For other models the whole text is one word. Texts are encoded
-whole where they lie, without a shuffle; the model is a file parameter, read by the driver once and
-sent along (half a MB).
+of a word, so words are encoded one by one and each worker remembers the ids of the words it has met
+lately (two generations of at most ``REMEMBERED``); new words of many texts are merged together. For
+other models the whole text is one word. Texts are encoded whole where they lie, without a shuffle; the
+model is a file parameter, read by the driver once and sent along (half a MB).
 
 Defined cases: a null or empty text has no ids and decodes to an empty text; repeated rows and null
 ids are encoded like any other; other columns are kept by ``with_pieces``; a null id array decodes to
@@ -44,8 +44,7 @@ REPLACED = "�"
 UNKNOWN_SURFACE = " ⁇ "
 
 # --- parameters -------------------------------------------------------------------------------------
-REMEMBERED = 400_000  # words of each of two generations
-REMEMBERED_LINES = 120_000
+REMEMBERED = 120_000  # words of each of two generations
 LONG_WORD = 40        # characters beyond which a word is merged by a heap and not remembered
 BATCH = 64
 
@@ -144,15 +143,19 @@ class PieceModel:
                       if self.kinds[i] == BYTE}
         self.by_words = not any(SPACE in p.lstrip(SPACE) for p in self.ids)
         self.word = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+" if self.by_words else "(?s:.+)")
-        #: Words met lately, and those met before them.
-        self.remembered: dict[str, tuple[bytes, bytes]] = {}
-        self.older: dict[str, tuple[bytes, bytes]] = {}
-        #: The same for words whose ids are wanted as text, and what the words decode to that do not
-        #: decode to themselves.
-        self.lines: dict[str, str] = {}
-        self.older_lines: dict[str, str] = {}
-        self.changed: dict[str, str] = {}
-        self.older_changed: dict[str, str] = {}
+        #: Ids of the words met lately, and of those met before them.
+        self.remembered: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        #: Of each id the characters it stands for (bytes count 1), whether it is a byte that goes on
+        #: with a character, its text in decimals, and the bytes it decodes to.
+        self.lengths = np.array([1 if i in self.special else len(p)
+                                 for i, p in enumerate(self.pieces)], np.int32)
+        self.goes_on = np.zeros(len(self.pieces), bool)
+        self.goes_on[[i for b, i in self.bytes.items() if 0x80 <= b < 0xC0]] = True
+        self.decimals = [str(i) for i in range(len(self.pieces))]
+        self.raw = [bytes([int(p[3:5], 16)]) if k == BYTE else b"" if k == CONTROL
+                    else UNKNOWN_SURFACE.encode() if k == UNKNOWN else p.encode()
+                    for p, k in zip(self.pieces, self.kinds)]
         self.merger: Merger | None = None
 
     # -- normalisation --------------------------------------------------------------------------------
@@ -261,113 +264,80 @@ class PieceModel:
             offer(a, after[a])
         return [p for p in parts if p is not None]
 
-    def _encoded(self, word: str) -> tuple[list[int], list[int]]:
-        """Ids of a word and the characters each stands for; bytes of one character count -1 but the
-        last."""
-        parts = self._merged(word)
-        ids = [self.ids.get(p) for p in parts]
-        return self._with_unknown(parts) if None in ids else (ids, [len(p) for p in parts])
-
-    def _word(self, word: str) -> tuple[bytes, bytes]:
-        """The same as packed numbers, remembered."""
-        known = self.older.get(word)
-        if known is None:
-            ids, sizes = self._encoded(word)
-            known = array("i", ids).tobytes(), array("i", sizes).tobytes()
-        if len(word) <= LONG_WORD:
-            if len(self.remembered) >= REMEMBERED:
-                self.older = self.remembered
-                self.remembered = {}
-            self.remembered[word] = known
-        return known
-
-    def _with_unknown(self, parts: list[str]) -> tuple[list[int], list[int]]:
-        """The same for parts of which some are no pieces."""
-        ids, sizes = [], []
-        for part in parts:
+    def _encoded(self, word: str) -> list[int]:
+        """Ids of a word."""
+        ids = []
+        for part in self._merged(word):
             place = self.ids.get(part)
             if place is not None:
                 ids.append(place)
-                sizes.append(len(part))
             elif self.byte_fallback and self.bytes:
-                raw = part.encode("utf-8", "replace")
-                ids += [self.bytes[b] for b in raw]
-                sizes += [-1] * (len(raw) - 1) + [1]
+                ids += [self.bytes[b] for b in part.encode("utf-8", "replace")]
             else:
                 ids.append(self.unknown)
-                sizes.append(len(part))
-        return ids, sizes
-
-    def told(self, texts: Sequence[str]) -> list[tuple[str, str, int]]:
-        """Of each text its ids as text, what they decode to, and the bytes of it that they cover.
-
-        Where text is taken over as it is, these are put together from what is remembered of its words,
-        as bytes never join beyond the space mark that begins a word; the words of all texts that are
-        not known yet are merged together.
-        """
-        if self.squeeze or self.map.units or not self.by_words:
-            found = [(*self.encode(text)[::2], text) for text in texts]
-            return [(",".join(map(str, ids.tolist())), self.decode(ids.tolist()),
-                     int(ends[-1]) if len(ids) else 0) for ids, ends, _ in found]
-        split = []
-        for text in texts:
-            plain, origin = self.normalise(text)
-            split.append((plain, self.word.findall(plain), origin[len(plain)]))
-        self._learn({w for _, words, _ in split for w in words if w not in self.lines})
-        out = []
-        for plain, words, covered in split:
-            line = ",".join(map(self.lines.__getitem__, words))
-            if self.changed and not self.changed.keys().isdisjoint(words):
-                plain = "".join([self.changed.get(w, w) for w in words])
-            back = plain.replace(SPACE, " ")
-            if self.dummy_prefix and back[:1] == " ":
-                back = back[1:]
-            out.append((line, back, int(covered)))
-        if len(self.lines) >= REMEMBERED_LINES:
-            self.older_lines, self.lines = self.lines, {}
-            self.older_changed, self.changed = self.changed, {}
-        return out
+        return ids
 
-    def _learn(self, words: set[str]) -> None:
-        """Remember the ids of words as text, and what those decode to that do not give the word."""
-        new = []
+    def _learn(self, words: set[str]) -> dict[str, bytes]:
+        """Ids of words that are not remembered; short ones are remembered from now on."""
+        found, new = {}, []
         for word in words:
-            known = self.older_lines.get(word)
+            known = self.older.get(word)
             if known is None:
                 new.append(word)
             else:
-                self.lines[word] = known
-                if word in self.older_changed:
-                    self.changed[word] = self.older_changed[word]
-        if self.merger is None:
-            self.merger = Merger(self.ids, self.score_of)
-        short = [w for w in new if len(w) <= LONG_WORD]
-        merged = list(zip(short, self.merger.merge(short)))
-        for word, ids in merged:
-            if -1 not in ids:   # all are pieces, which decode to themselves
-                self.lines[word] = ",".join(map(str, ids))
-        for word in [w for w, ids in merged if -1 in ids] + [w for w in new if len(w) > LONG_WORD]:
-            ids, _ = self._encoded(word)
-            self.lines[word] = ",".join(map(str, ids))
-            back = self.decode(ids, at_start=False)
-            if back != word.replace(SPACE, " "):
-                self.changed[word] = back
+                found[word] = known
+        if self.by_words:
+            if self.merger is None:
+                self.merger = Merger(self.ids, self.score_of)
+            short = [w for w in new if len(w) <= LONG_WORD]
+            found.update(zip(short, self.merger.merge(short)))
+            new = [w for w in new if len(w) > LONG_WORD] + [w for w in short if found[w] is None]
+        for word in new:
+            found[word] = array("i", self._encoded(word)).tobytes()
+        if len(self.remembered) + len(found) > REMEMBERED:
+            self.older, self.remembered = self.remembered, {}
+        self.remembered.update((w, k) for w, k in found.items() if len(w) <= LONG_WORD)
+        return found
+
+    def encode_all(self, texts: Sequence[str]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Of each text its ids and the first and past-the-last source byte of each; the words of all
+        texts that are not known yet are merged together."""
+        split = []
+        for text in texts:
+            plain, origin = self.normalise(text)
+            split.append((self.word.findall(plain), origin))
+        words = set().union(*[w for w, _ in split])
+        known = {w: k for w in words if (k := self.remembered.get(w)) is not None}
+        known.update(self._learn(words - known.keys()))
+        out = []
+        for words, origin in split:
+            ids = np.frombuffer(b"".join(map(known.__getitem__, words)), np.int32)
+            out.append((ids, *self._spans(ids, origin)))
+        return out
 
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids and the first and past-the-last source byte of each."""
-        plain, origin = self.normalise(text)
-        known = [self.remembered.get(w) or self._word(w) for w in self.word.findall(plain)]
-        ids = np.frombuffer(b"".join([k[0] for k in known]), np.int32)
-        taken = np.frombuffer(b"".join([k[1] for k in known]), np.int32)
+        return self.encode_all([text])[0]
+
+    def _spans(self, ids: np.ndarray, origin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The source bytes that each id stands for, by the record of the normalised characters."""
+        taken = self.lengths[ids]
+        # Bytes of one character count -1 but the last.
+        taken[np.flatnonzero(self.goes_on[ids[1:]])] = -1
         ends = np.cumsum(np.maximum(taken, 0))
         starts = ends - np.maximum(taken, 0)
         first, last = origin[starts], origin[ends]
-        for i in np.flatnonzero(taken < 0):
+        begun = np.flatnonzero(taken < 0)
+        if len(begun):
             # Bytes before the last of a character: its span if the source has other bytes there,
             # else the byte itself.
-            first[i], last[i] = origin[starts[i]], origin[starts[i] + 1]
-        self._split_bytes(taken, first, last)
-        return ids, first.astype(np.int32), last.astype(np.int32)
+            first[begun], last[begun] = origin[starts[begun]], origin[starts[begun] + 1]
+            self._split_bytes(taken, first, last)
+        return first.astype(np.int32), last.astype(np.int32)
+
+    def line(self, ids: Sequence[int]) -> str:
+        """Ids in decimals, joined by commas."""
+        return ",".join(map(self.decimals.__getitem__, ids))
 
     @staticmethod
     def _split_bytes(taken: np.ndarray, first: np.ndarray, last: np.ndarray) -> None:
@@ -384,15 +354,17 @@ class PieceModel:
 
     # -- decoding -------------------------------------------------------------------------------------
 
-    def decode(self, ids: Sequence[int], at_start: bool = True) -> str:
-        """The text of ids: bytes are joined to characters, the space put before the text is dropped
-        where the ids begin one."""
+    def decode(self, ids: Sequence[int]) -> str:
+        """The text of ids: bytes are joined to characters, the space put before the text is dropped."""
         pieces, kinds = self.pieces, self.kinds
-        if not self.squeeze and self.special.isdisjoint(ids):
-            text = "".join([pieces[i] for i in ids])
-            return text[at_start and self.dummy_prefix and text[:1] == SPACE:].replace(SPACE, " ")
+        if not self.squeeze and len(ids) and ids[0] not in self.special:
+            try:
+                text = b"".join(map(self.raw.__getitem__, ids)).decode("utf-8")
+                return text[self.dummy_prefix and text[:1] == SPACE:].replace(SPACE, " ")
+            except UnicodeDecodeError:  # bytes that are no characters
+                pass
         out, raw = [], bytearray()
-        at_start = at_start and (self.dummy_prefix or self.squeeze)
+        at_start = self.dummy_prefix or self.squeeze
         for i in ids:
             kind = kinds[i]
             if kind == BYTE:
@@ -480,9 +452,9 @@ class Merger:
             open_ = open_[(there != keys[open_]) & (there >= 0)]
         return np.where(self.keys[slots] == keys, self.ranks[slots], self.NONE), self.joined[slots]
 
-    def merge(self, words: list[str]) -> list[list[int]]:
-        """Ids of the pieces of each word, -1 for characters that are none."""
-        out: list[list[int]] = [[] for _ in words]
+    def merge(self, words: list[str]) -> list[bytes | None]:
+        """Packed ids of the pieces of each word; nothing for words with characters that are none."""
+        out: list[bytes | None] = [b""] * len(words)
         lengths = np.array([len(w) for w in words], np.int64)
         order = np.argsort(lengths, kind="stable")
         for begin in range(0, len(order), 4096):
@@ -491,7 +463,7 @@ class Merger:
         return out
 
     def _merge(self, words: list[str], rows: np.ndarray, lengths: np.ndarray,
-               out: list[list[int]]) -> None:
+               out: list[bytes | None]) -> None:
         width = int(lengths[-1])
         if width == 0:
             return
@@ -508,9 +480,8 @@ class Merger:
             else:
                 more = np.zeros(len(rows), bool)
             done = np.flatnonzero(~more)
-            for row, symbols, n in zip(rows[done].tolist(), self.ids[parts[done]].tolist(),
-                                       lengths[done].tolist()):
-                out[row] = symbols[:n]
+            if len(done):
+                self._tell(rows[done], self.ids[parts[done]], lengths[done], out)
             if not more.any():
                 return
             keep = np.flatnonzero(more)
@@ -530,6 +501,16 @@ class Merger:
                 ranks[row, column], joined[row, column] = self._find(
                     parts[row, column], parts[row, column + 1])
 
+    @staticmethod
+    def _tell(rows: np.ndarray, ids: np.ndarray, lengths: np.ndarray,
+              out: list[bytes | None]) -> None:
+        strange = ((ids < 0) & (np.arange(ids.shape[1]) < lengths[:, None])).any(axis=1)
+        packed, stride = np.ascontiguousarray(ids, np.int32).tobytes(), 4 * ids.shape[1]
+        ends = np.arange(len(rows)) * stride
+        for row, begin, end, no in zip(rows.tolist(), ends.tolist(), (ends + 4 * lengths).tolist(),
+                                       strange.tolist()):
+            out[row] = None if no else packed[begin:end]
+
 
 def characters(raw: bytes) -> str:
     """Bytes as characters; each byte that begins none is one replacement character."""
@@ -568,13 +549,17 @@ ENCODED = StructType([StructField(c, ArrayType(IntegerType())) for c in ("ids",
 def _encoder(serialized: bytes):
     @F.pandas_udf(ENCODED)
     def encode_texts(texts: pd.Series) -> pd.DataFrame:
-        model = _model(serialized)
-        rows = [model.encode(t or "") for t in texts]
+        rows = [r for part in _batches(texts) for r in _model(serialized).encode_all(part)]
         return pd.DataFrame({name: pd.Series([r[i] for r in rows], dtype=object)
                              for i, name in enumerate(ENCODED.names)})
     return encode_texts
 
 
+def _batches(texts: pd.Series):
+    for begin in range(0, len(texts), BATCH):
+        yield [t or "" for t in texts.iloc[begin:begin + BATCH]]
+
+
 def _decoder(serialized: bytes):
     @F.pandas_udf(StringType())
     def decode_ids(column: pd.Series) -> pd.Series:
@@ -615,12 +600,12 @@ def _teller(serialized: bytes, with_ids: bool):
     def tell(texts: pd.Series) -> pd.DataFrame:
         model = _model(serialized)
         rows = []
-        for begin in range(0, len(texts), BATCH):
-            part = [t or "" for t in texts.iloc[begin:begin + BATCH]]
-            for line, back, covered in model.told(part):
-                ids = np.array(line.split(",") if line else [], np.int32) if with_ids else None
-                rows.append((ids, line.count(",") + 1 if line else 0, _sha256(line), _sha256(back),
-                             covered))
+        for part in _batches(texts):
+            for ids, starts, ends in model.encode_all(part):
+                listed = ids.tolist()
+                back = model.decode(listed)
+                rows.append((ids if with_ids else None, len(ids), _sha256(model.line(listed)),
+                             _sha256(back), covered(starts, ends)))
         return pd.DataFrame(rows, columns=TOLD.names)[kind.names]
     return tell
 
@@ -629,11 +614,19 @@ def _sha256(text: str) -> str:
     return hashlib.sha256(text.encode("utf-8", "replace")).hexdigest()
 
 
+def covered(starts: np.ndarray, ends: np.ndarray) -> int:
+    """Source bytes within the spans, each counted once."""
+    if not len(ends):
+        return 0
+    before = np.concatenate([[0], np.maximum.accumulate(ends)[:-1]])
+    return int(np.maximum(ends - np.maximum(starts, before), 0).sum())
+
+
 def told(docs: DataFrame, model_path: str, with_ids: bool = False) -> DataFrame:
     """The documents with a struct ``_told``: the number of ids of the whole text, hashes of ids and of
-    the text they decode to, the bytes of the source that the ids cover, and the ids if wanted.
+    the text they decode to, the bytes of the source within their spans, and the ids if wanted.
 
-    One pass encodes and decodes; spans, which ``with_pieces`` gives, are not made.
+    One pass encodes each text into ids and spans and decodes the ids.
     """
     for_python(docs.sparkSession)
     return docs.withColumn("_told", _teller(read_model(model_path), with_ids)(F.col("text")))
