@@ -128,3 +128,13 @@ def test_columns_that_operators_use_come_out_unchanged(spark, tmp_path):
         for r in got:
             assert all(r[c] == f"{c}-{r['doc_id']}" for c in names), (name, r)
     assert P.STAGES[-1][1](spark, docs, SF).count() == docs.count()
+
+
+def test_the_last_stage_decodes_the_ids_it_returns(library, monkeypatch):
+    import pandas as pd
+    seen = []
+    decode = pieces.PieceModel.decode
+    monkeypatch.setattr(pieces.PieceModel, "decode",
+                        lambda self, ids: seen.append(list(ids)) or decode(self, ids))
+    got = pieces._teller(pieces.read_model(queries.piece_model()), True).func(pd.Series(["a 中文", None]))
+    assert seen == [ids.tolist() for ids in got["ids"]] == [library.encode("a 中文"), []]
