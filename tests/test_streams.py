@@ -158,3 +158,13 @@ def test_days_behind_the_watermark_leave_the_state(spark):
     add(1, 9)             # too late
     days = {(r.day, r.sequence_number) for r in latest.latest_view(spark, out).collect()}
     assert days == {(1, 1), (9, 2), (10, 3)}
+
+
+def test_sessions_write_to_few_folders_without_a_sort(spark):
+    from tripmill import session
+    other = spark.newSession()
+    session.prepare(other)
+    assert other.conf.get(session.OPEN_FILES_KEY) == str(session.OPEN_FILES)
+    other.conf.set(session.OPEN_FILES_KEY, "3")
+    session.prepare(other)
+    assert other.conf.get(session.OPEN_FILES_KEY) == "3"
