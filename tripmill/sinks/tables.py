@@ -12,7 +12,7 @@ def write_trips_month(trips: DataFrame, root: str) -> None:
     """Write trips under ``year=/month=`` of their pick-up and replace just the months written.
 
     The rebalance hint groups each month's rows into few files and splits a month that is too
-    large for one task.
+    large for one task, so a task has few months; they are not sorted (see ``session.prepare``).
     """
     months = trips.withColumns({"year": F.year(PICKUP), "month": F.month(PICKUP)})
     (
