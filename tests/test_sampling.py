@@ -120,3 +120,16 @@ def test_stored_empty_table_and_a_clashing_column(spark, keys):
 def test_directory_counts_every_row(spark, ranked):
     counts = ranked.counts(spark)
     assert sum(n for _, n in counts) == 3000 and [p for p, _ in counts] == sorted(p for p, _ in counts)
+
+
+def test_stored_order_has_more_files_for_more_rows(spark, keys, monkeypatch):
+    from tripmill.session import fresh_folder
+    monkeypatch.setattr(sampling, "PART_ROWS", 100)
+    table = sampling.store_ranked(keys, "key", fresh_folder(spark, "ranked"))
+    files = table.rows(spark).groupBy(F.input_file_name().alias("f")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("_hash").alias("low"), F.max("_hash").alias("high"),
+    ).orderBy("low").collect()
+    assert len(files) == 30 and sum(r.n for r in files) == 3000 and max(r.n for r in files) < 200
+    assert all(a.high < b.low for a, b in zip(files, files[1:]))
+    got = sampling.stored_slice(spark, table, 1234, 1700).collect()
+    assert sorted(r.key for r in got) == sorted(ORDER[1234:1700])

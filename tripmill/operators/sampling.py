@@ -11,6 +11,7 @@ keeps the counts beside it; a slice then reads its own part of the files.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,6 +27,7 @@ HASH_CHARACTERS = 32
 FEW = 10_000           # rows of one prefix that are ordered instead of counted further
 HASH = "_hash"         # column of a stored order
 ROW_GROUP_BYTES = 1 << 20
+PART_ROWS = 500_000    # rows of a file of a stored order, which a task sorts without spilling
 
 
 def seeded_order(key: str, seed: int = S.SAMPLE_SEED) -> Column:
@@ -106,18 +108,22 @@ def store_ranked(df: DataFrame, key: str, path: str, seed: int = S.SAMPLE_SEED,
     """Lay a table out by the hash of seed and unique key and count its prefixes.
 
     Each file holds a range of hashes in order, in row groups that are small beside it, so a later range
-    of hashes reads only the groups it touches.
+    of hashes reads only the groups it touches. Without ``parts`` there is a file for every
+    ``PART_ROWS`` rows, and at least as many as the session shuffles into. Rows are dealt by the hash, but
+    it is added behind the shuffle.
     """
     if HASH in df.columns:
         raise ValueError(f"the table has a column {HASH}")
-    hashed = df.withColumn(HASH, seeded_order(key, seed)).select(HASH, *[F.col(f"`{c}`")
-                                                                        for c in df.columns])
     # Hashes are even, so ranges of equal width hold equally many rows: no sampling pass is needed.
-    n = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    place = F.floor(F.conv(F.substring(HASH, 1, 8), 16, 10).cast("long") * n / 2 ** 32).cast("int")
-    hashed.repartition(n, place).sortWithinPartitions(HASH, key).write.mode("overwrite").option(
-        "parquet.block.size", ROW_GROUP_BYTES).option("parquet.page.size", ROW_GROUP_BYTES // 16) \
-        .parquet(f"{path}/{ROWS}")
+    n = parts or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+                     math.ceil(df.count() / PART_ROWS))
+    place = F.floor(F.conv(F.substring(seeded_order(key, seed), 1, 8), 16, 10).cast("long") * n / 2 ** 32)
+    dealt = df.repartitionById(n, F.coalesce(place.cast("int"), F.lit(0)))
+    hashed = dealt.withColumn(HASH, seeded_order(key, seed)).select(
+        HASH, *[F.col(f"`{c}`") for c in df.columns])
+    hashed.sortWithinPartitions(HASH, key).write.mode("overwrite").option(
+        "parquet.block.size", ROW_GROUP_BYTES).option("parquet.page.size", ROW_GROUP_BYTES // 16).option(
+        "compression", "zstd").parquet(f"{path}/{ROWS}")
     table = RankedTable(path, key, df.schema)
     table.rows(df.sparkSession).groupBy(
         F.substring(HASH, 1, PREFIX_CHARACTERS).alias("prefix")).agg(
