@@ -131,3 +131,14 @@ def test_quantile_edges_and_their_drift(spark):
         bins[sum(e < i % 7 for e in edges)][i < 40] += 1
     got = M.feature_drift(df, F.col("now"), {"x": edges}).first()
     assert got.psi == pytest.approx(psi(*zip(*bins)))
+
+
+def test_the_range_of_a_value_is_found_without_a_join(spark):
+    spans = {(0, 1.0, 2.0): 0, (1, 0.0, 9.0): 1, (0, 4.0, 6.0): 2, (0, 2.5, 3.0): 3}
+    df = spark.createDataFrame([(0, 0.5), (0, 1.0), (0, 2.0), (0, 2.2), (0, 3.0), (0, 5.0), (0, 7.0),
+                                (1, 9.0), (1, 10.0), (2, 1.0)], "c int, v double")
+    found = df.withColumn("s", M._span_of(F.col("v"), F.col("c"), spans))
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+    got = {(r.c, r.v): r.s.span if r.s and r.s.low <= r.v else None for r in found.collect()}
+    assert got == {(0, 0.5): None, (0, 1.0): 0, (0, 2.0): 0, (0, 2.2): None, (0, 3.0): 3, (0, 5.0): 2,
+                   (0, 7.0): None, (1, 9.0): 1, (1, 10.0): None, (2, 1.0): None}
