@@ -2,12 +2,13 @@
 
 import hashlib
 
+import pandas as pd
 import pytest
 import sentencepiece
 from brute import as_dicts, groups, mixed
 
 import corpus_pipeline as P
-from tripmill.llm import langid, mixing, queries, secrets
+from tripmill.llm import langid, mixing, pieces, queries, secrets
 
 SF = "/root/testdata/sf0.001"
 
@@ -130,8 +131,8 @@ def test_columns_that_operators_use_come_out_unchanged(spark, tmp_path):
     assert P.STAGES[-1][1](spark, docs, SF).count() == docs.count()
 
 
-def test_the_last_stage_decodes_the_ids_it_returns(library, monkeypatch):
-    import pandas as pd
+def test_the_last_stage_decodes_the_ids_it_returns(monkeypatch):
+    library = sentencepiece.SentencePieceProcessor(model_file=queries.piece_model())
     seen = []
     decode = pieces.PieceModel.decode
     monkeypatch.setattr(pieces.PieceModel, "decode",
