@@ -1,3 +1,4 @@
+import json
 import random
 from datetime import datetime, timedelta
 
@@ -109,3 +110,36 @@ def test_groups_count_outcomes_and_rate_the_matched(spark):
     assert (g.n, g.n_matched, g.n_late, g.n_missing, g.n_pending) == (3, 2, 1, 0, 0)
     assert (g.rmse, g.mae, g.r2) == (0.5 ** 0.5, 0.5, 0.5)
     assert (h.n_missing, h.n_pending, h.rmse) == (1, 1, None)
+
+
+def test_a_backlog_is_rated_span_by_span(spark, monkeypatch):
+    ran = []
+    monkeypatch.setattr(quality, "finish", lambda query: (finish(query), ran.append(query)))
+    predictions, actuals, asked, came = tables(spark, 600)
+    predictions = predictions.where("ride_id IS NOT NULL")
+    folders = [fresh_folder(spark, n) for n in ("asked", "came", "rated", "progress")]
+    spans = quality.land_in_order([(predictions, "predicted_ts", folders[0]),
+                                   (actuals, "actual_ts", folders[1])], 250)
+    assert spans > 3
+    quality.match_backlog(spark, folders[0], folders[1], spans, 7_200, "1 hour", folders[2], folders[3])
+    closed = min(max(a[1] for a in asked), max(c[1] for c in came)) - timedelta(hours=1)
+    got = rows(quality.stream_outcomes(spark, predictions, actuals, folders[2]))
+    assert got == plain([a for a in asked if a[0] is not None], came, 7_200, closed)
+    # The state never held all rows: each run adds a span, and what was rated has left before the next.
+    most = max(o["numRowsTotal"] for q in ran for p in q.recentProgress
+               for o in json.loads(p.json)["stateOperators"] if o["operatorName"] == "symmetricHashJoin")
+    assert len(ran) == spans and 0 < most < (len(asked) + len(came)) / 2
+
+
+def test_a_span_may_lack_one_side(spark):
+    folders = [fresh_folder(spark, n) for n in ("asked", "came", "rated", "progress")]
+    predictions = spark.createDataFrame(
+        [(f"r{i}", START + timedelta(days=i), 1.0) for i in range(6)], schemas.PREDICTION)
+    actuals = spark.createDataFrame(
+        [(f"r{i}", START + timedelta(days=i, hours=1), 2.0) for i in (0, 5)], schemas.ACTUAL)
+    spans = quality.land_in_order([(predictions, "predicted_ts", folders[0]),
+                                   (actuals, "actual_ts", folders[1])], 1)
+    assert spans == 6
+    quality.match_backlog(spark, folders[0], folders[1], spans, 7_200, "1 hour", folders[2], folders[3])
+    outcomes = {r[0]: r[3] for r in rows(quality.stream_outcomes(spark, predictions, actuals, folders[2]))}
+    assert outcomes == {"r0": "matched", "r5": "matched", **{f"r{i}": "missing" for i in (1, 2, 3, 4)}}

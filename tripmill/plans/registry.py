@@ -653,19 +653,18 @@ def model_quality(spark, sf_dir):
 
 
 def stream_model_quality(spark, sf_dir):
-    """The same from two streams, which leave the last hours open."""
-    landed = {}
-    for name, rows in (("asked", _predictions(spark, sf_dir)), ("came", _actuals(spark, sf_dir))):
-        landed[name] = fresh_folder(spark, name)
-        rows.write.parquet(landed[name])
+    """The same from two streams, which leave the last hours open. The trips of years are a backlog, which
+    is landed in spans of time."""
+    asked, came = fresh_folder(spark, "asked"), fresh_folder(spark, "came")
+    spans = quality_streams.land_in_order([
+        (_predictions(spark, sf_dir), "predicted_ts", asked),
+        (_actuals(spark, sf_dir), "actual_ts", came)])
     out = fresh_folder(spark, "rated")
-    streams.finish(quality_streams.stream_match(
-        quality_streams.stream_of(spark, landed["asked"], schemas.PREDICTION),
-        quality_streams.stream_of(spark, landed["came"], schemas.ACTUAL),
-        ACTUAL_WITHIN, ACTUAL_DELAY, out, fresh_folder(spark, "progress")))
+    quality_streams.match_backlog(spark, asked, came, spans, ACTUAL_WITHIN, ACTUAL_DELAY, out,
+                                  fresh_folder(spark, "progress"))
     return _quality(quality_streams.stream_outcomes(
-        spark, spark.read.schema(schemas.PREDICTION).parquet(landed["asked"]),
-        spark.read.schema(schemas.ACTUAL).parquet(landed["came"]), out))
+        spark, spark.read.schema(schemas.PREDICTION).parquet(asked),
+        spark.read.schema(schemas.ACTUAL).parquet(came), out))
 
 
 def envelope_ids_unique(spark, sf_dir):
