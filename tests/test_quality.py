@@ -1,5 +1,8 @@
 import json
+import os
 import random
+import subprocess
+import sys
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
@@ -143,3 +146,48 @@ def test_a_span_may_lack_one_side(spark):
     quality.match_backlog(spark, folders[0], folders[1], spans, 7_200, "1 hour", folders[2], folders[3])
     outcomes = {r[0]: r[3] for r in rows(quality.stream_outcomes(spark, predictions, actuals, folders[2]))}
     assert outcomes == {"r0": "matched", "r5": "matched", **{f"r{i}": "missing" for i in (1, 2, 3, 4)}}
+
+
+LONG_BACKLOG = """
+import json, sys, time
+from collections import Counter
+from datetime import timedelta
+from pathlib import Path
+from test_quality import START, schemas
+from tripmill.session import build_session, fresh_folder
+from tripmill.streaming import quality
+
+top = sys.argv[1]
+spark = build_session("backlog", "local[2]", {
+    "spark.ui.enabled": "false", "spark.driver.memory": "1g", "spark.driver.host": "127.0.0.1",
+    "spark.sql.shuffle.partitions": "1", "spark.local.dir": f"{top}/local",
+    "spark.checkpoint.dir": f"{top}/shared", "spark.sql.warehouse.dir": f"{top}/tables"})
+quality.RETAINED["spark.sql.streaming.stateStore.maintenanceInterval"] = "200ms"
+times = [START + timedelta(hours=12 * i) for i in range(16)]
+folders = [fresh_folder(spark, n) for n in ("asked", "came", "rated", "progress")]
+spans = quality.land_in_order([
+    (spark.createDataFrame([(f"r{t}", t, 1.0) for t in times], schemas.PREDICTION), "predicted_ts", folders[0]),
+    (spark.createDataFrame([(f"r{t}", t, 2.0) for t in times], schemas.ACTUAL), "actual_ts", folders[1])], 4)
+quality.match_backlog(spark, folders[0], folders[1], spans, 7_200, "1 hour", folders[2], folders[3])
+until = time.time() + 20
+while time.time() < until and [*Path(top, "local").rglob("shuffle_*.data")]:
+    time.sleep(0.1)
+versions = Counter(str(f.parent) for f in Path(folders[3], "state").rglob("*.delta"))
+print(json.dumps({
+    "spans": spans, "stores": len(versions), "versions": max(versions.values()),
+    "shuffles": len([*Path(top, "local").rglob("shuffle_*.data")]),
+    "rated": spark.read.schema(schemas.RATED_PREDICTION).parquet(folders[2]).where("duration = 2").count(),
+    "kept": spark.conf.get("spark.sql.streaming.minBatchesToRetain")}))
+"""
+
+
+def test_a_backlog_leaves_the_state_of_a_few_spans_and_no_shuffles(tmp_path):
+    # Apart, since the first stream of a process sets how often the state is tidied up.
+    done = subprocess.run(
+        [sys.executable, "-c", LONG_BACKLOG, str(tmp_path)], capture_output=True, text=True, timeout=300,
+        env=os.environ | {"PYTHONPATH": os.pathsep.join(sys.path)})
+    assert done.returncode == 0, done.stderr[-2000:]
+    left = json.loads(done.stdout.splitlines()[-1])
+    assert left["spans"] == 8 and left["rated"] == 16 and left["kept"] == "100"
+    assert left["shuffles"] == 0
+    assert left["stores"] == 5 and left["versions"] < 8  # of two a span
